@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, sharding
+from . import packing, pii, quality, sharding
 
-MODULES = (sharding, quality)
+MODULES = (packing, sharding, pii, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
