@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, quality, sharding
+from . import decontaminate, packing, pii, quality, sharding, urls
 
-MODULES = (packing, sharding, pii, quality)
+MODULES = (packing, decontaminate, urls, sharding, pii, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
