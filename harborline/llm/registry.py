@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, pii, quality, sharding, simhash, urls
+from . import decontaminate, packing, phrases, pii, quality, sharding, simhash, urls
 
-MODULES = (packing, decontaminate, simhash, urls, sharding, pii, quality)
+MODULES = (packing, decontaminate, simhash, urls, phrases, sharding, pii, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
