@@ -244,6 +244,103 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+BANDS, TAKEN = 10, 3
+
+
+def band_prints(docs: DataFrame, size: int = 5, bands: int = BANDS, taken: int = TAKEN) -> DataFrame:
+    """(doc_id, sha, prints): SimHashes of small agreeing selections of each document's shingles.
+
+    A fingerprint of a whole text moves by many bits while the texts are still
+    very alike.  Band by band, the `taken` shingles that come first in that
+    band's seeded order are fingerprinted by themselves: texts of Jaccard
+    similarity s select the same ones with probability s ** taken.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        import xxhash
+
+        for part in text_parts(batches, PART_BYTES):
+            data, off = text_bytes(part.column("text"))
+            raw, sha, prints = data.tobytes(), [], []
+            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+                own = set(shingles(raw[a:b], size))
+                h = np.fromiter(map(xxhash.xxh64_intdigest, own, repeat(42)), np.uint64, len(own))
+                sha.append(hashlib.sha256(raw[a:b]).digest())
+                for k in range(bands):
+                    salt = mix(np.array([k + 1], np.uint64))[0]
+                    order = mix(h ^ salt)
+                    first = np.sort(order)[:taken] if len(h) <= 64 else np.sort(np.partition(order, taken)[:taken])
+                    prints.append(majority(first, np.array([len(first)]))[0] ^ salt)
+            flat = pa.array(np.array(prints, np.uint64).view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * bands), flat)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sha, pa.binary()), lists], ["doc_id", "sha", "prints"])
+
+    return docs.mapInArrow(find, "doc_id long, sha binary, prints array<long>")
+
+
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, shingles): the distinct shingles of each text as sorted 32-bit hashes."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for part in text_parts(batches, PART_BYTES):
+            data, off = text_bytes(part.column("text"))
+            raw, out = data.tobytes(), []
+            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+                own = set(shingles(raw[a:b], size))
+                out.append(np.unique(np.fromiter(map(xxhash.xxh32_intdigest, own), np.uint32, len(own))).tobytes())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "shingles"])
+
+    return docs.mapInArrow(find, "doc_id long, shingles binary")
+
+
+def _similar(least: float):  # noqa: ANN202
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                u, v = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                keep.append(both >= least * (len(u) + len(v) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return test
+
+
+def near_duplicate_roots(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
+    """(doc_id, root) of documents that are not the smallest id of their group.
+
+    Groups are the connected components over pairs of Jaccard similarity
+    `similarity` or more on word shingles.  Candidates come from the vantage
+    search over band fingerprints: each member of a set of linked fingerprints
+    is compared with three of its members, the exact sets deciding.
+    """
+    docs = id_and_text(docs).where("doc_id IS NOT NULL")
+    prints = materialise(band_prints(docs, size))
+    first = prints.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
+    copies = prints.join(first, "sha").where("doc_id > first_id").select(F.col("doc_id").alias("a"), F.col("first_id").alias("b"))
+    each = materialise(prints.join(first.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("prints").alias("fp")))
+    roots = fingerprint_roots(each.select("fp").distinct(), radius)
+    each = materialise(each.join(roots, "fp", "left").select("doc_id", F.coalesce("root", "fp").alias("root")))
+    leaders = each.groupBy("root").agg(F.min("doc_id").alias("l1"), F.max("doc_id").alias("l2"), F.min_by("doc_id", F.xxhash64("doc_id", "root")).alias("l3")).where("l1 < l2")
+    pairs = each.join(leaders, "root").select("doc_id", F.explode(F.array("l1", "l2", "l3")).alias("b")).where("doc_id != b")
+    pairs = materialise(pairs.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct())
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = materialise(shingle_sets(docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]))
+    x, y = (sets.select(F.col("doc_id").alias(i), F.col("shingles").alias(s)) for i, s in (("a", "x"), ("b", "y")))
+    links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
+    nodes = connected_components(links.union(copies))
+    return nodes.where("node != root").select(F.col("node").alias("doc_id"), "root")
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs without all but one document (the smallest id) of each group; rows without an id stay."""
+    return docs.join(near_duplicate_roots(docs, size, similarity).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
