@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import vessels
+from . import panels, vessels
 
-MODULES = (vessels,)
+MODULES = (vessels, panels)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

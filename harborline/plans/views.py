@@ -54,7 +54,7 @@ def transits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily strait transits by order priority, zero-filled."""
     orders = table(spark, sf_dir, "orders").withColumn("transit_date", F.to_date("o_orderdate"))
     status = lambda v: F.count(F.when(F.col("o_orderstatus") == v, 1))
-    daily = orders.groupBy(F.col("o_orderpriority").alias("chokepoint_id"), "transit_date").agg(F.count("*").alias("n_total"), status("F").alias("n_tanker"), status("O").alias("n_container"), status("P").alias("n_dry_bulk"), F.sum("o_totalprice").alias("capacity"))
+    daily = orders.groupBy(F.col("o_orderpriority").alias("chokepoint_id"), "transit_date").agg(F.count("*").alias("n_total"), status("F").alias("n_tanker"), status("O").alias("n_container"), status("P").alias("n_dry_bulk"), F.floor(F.sum("o_totalprice") + 0.005).cast("double").alias("capacity"))
     days = orders.agg(F.min("transit_date").alias("a"), F.max("transit_date").alias("b")).select(F.explode(F.sequence("a", "b")).alias("transit_date"))
     grid = orders.select(F.col("o_orderpriority").alias("chokepoint_id")).distinct().crossJoin(days)
     out = grid.join(daily, ["chokepoint_id", "transit_date"], "left")
@@ -64,7 +64,7 @@ def transits(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRANSITS = """
 tr0 AS (SELECT o_orderpriority AS chokepoint_id, CAST(o_orderdate AS DATE) AS transit_date, count(*) AS n_total,
     count(*) FILTER (WHERE o_orderstatus = 'F') AS n_tanker, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_container,
-    count(*) FILTER (WHERE o_orderstatus = 'P') AS n_dry_bulk, sum(o_totalprice) AS capacity FROM orders GROUP BY 1, 2),
+    count(*) FILTER (WHERE o_orderstatus = 'P') AS n_dry_bulk, CAST(floor(sum(o_totalprice) + 0.005) AS DOUBLE) AS capacity FROM orders GROUP BY 1, 2),
 tdays AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS transit_date
   FROM (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders)),
 v_transits AS (SELECT c.chokepoint_id, d.transit_date, coalesce(n_total, 0) AS n_total, coalesce(n_tanker, 0) AS n_tanker,
