@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import panels, vessels
+from . import monitoring, panels, vessels
 
-MODULES = (vessels, panels)
+MODULES = (vessels, panels, monitoring)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
