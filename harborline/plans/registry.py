@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import monitoring, panels, vessels
+from . import explore, monitoring, panels, vessels
 
-MODULES = (vessels, panels, monitoring)
+MODULES = (vessels, panels, monitoring, explore)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
