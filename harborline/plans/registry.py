@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import explore, monitoring, panels, vessels
+from . import explore, ingest, monitoring, panels, streams, vessels
 
-MODULES = (vessels, panels, monitoring, explore)
+MODULES = (vessels, panels, monitoring, explore, ingest, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
