@@ -11,8 +11,8 @@ document of smaller id or further up in the same one.
     Aho-Corasick automaton over words (a word of the part is one character),
     through which all documents of the part are streamed.  Every window around
     an occurrence is a candidate.
-3.  Resolution.  Candidate windows meet by a 96-bit hash of their words; all but
-    the earliest are removed.
+3.  Resolution.  Candidate windows meet by the hashes of their chosen phrase and
+    of all their words, 128 bits together; all but the earliest are removed.
 
 A phrase or window that recurs inside a part is settled there, and one witness
 goes on: a passage in a third of all documents is a few rows per part, not one
@@ -118,7 +118,7 @@ def as_characters(which: np.ndarray) -> str:
 
 
 def candidate_windows(texts: pa.Array, positions: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, hash, second hash) of the windows around occurrences of the shard's phrases."""
+    """(row, start, hash of the chosen phrase, hash) of the windows around occurrences of the shard's phrases."""
     import ahocorasick
 
     w = Words(*text_bytes(texts))
@@ -138,59 +138,73 @@ def candidate_windows(texts: pa.Array, positions: list) -> tuple[np.ndarray, np.
                 base = first[row] - PHRASE + 1
                 hits += [base + end for end, _ in automaton.iter(signs[first[row] : first[row + 1]])]
     at = np.array(hits, np.int64)
+    if not len(at):
+        return at, at, at.astype(np.uint64), at.astype(np.uint64)
     marks = np.zeros(len(which) + 1, np.int32)
-    low = np.maximum(at - (WINDOW - PHRASE), w.first[w.doc[at]]) if len(at) else at
-    np.add.at(marks, low, 1)
+    np.add.at(marks, np.maximum(at - (WINDOW - PHRASE), w.first[w.doc[at]]), 1)
     np.add.at(marks, at + 1, -1)
     starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
     starts = starts[starts + WINDOW <= w.first[w.doc[starts] + 1]]
-    values = word_hashes(distinct) if len(starts) else np.zeros(len(distinct), np.uint64)
-    h = rolling(values[which], WINDOW)[starts] if len(starts) else np.zeros(0, np.uint64)
-    h2 = rolling(mix(values)[which], WINDOW)[starts] >> np.uint64(32) if len(starts) else h
-    return w.doc[starts], starts - w.first[w.doc[starts]], mix(h), h2
+    values = word_hashes(distinct)[which]
+    phrase = mix(rolling(values, PHRASE))
+    chosen = phrase[sliding_argmin(phrase, WINDOW - PHRASE + 1)[starts]]
+    return w.doc[starts], starts - w.first[w.doc[starts]], chosen, mix(rolling(values, WINDOW)[starts])
 
 
 def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows: those still open with their hashes, by the phrase that they share; settled ones by length."""
     for whole in text_parts(batches, PART_BYTES):
         part = usable(whole)
         part = part.filter(part.column("positions").is_valid())
-        row, start, h, h2 = candidate_windows(part.column("text"), part.column("positions").to_pylist())
+        row, start, key, h = candidate_windows(part.column("text"), part.column("positions").to_pylist())
         ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
         # all but the earliest of the windows that are equal inside the shard are settled
-        order = np.lexsort((start, ids, h2, h))
+        order = np.lexsort((start, ids, key, h))
         later = np.zeros(len(h), bool)
         a, b = order[1:], order[:-1]
-        later[a] = (h[a] == h[b]) & (h2[a] == h2[b])
+        later[a] = (h[a] == h[b]) & (key[a] == key[b])
         # rows that repeat an id hold the same windows, none of them earlier
-        later[a] &= ~((ids[a] == ids[b]) & (start[a] == start[b])) | later[b]
-        keys, known = witness_rows(h, later, mix(ids.astype(np.uint64)) ^ start.astype(np.uint64))
-        packed = (h2 << np.uint64(32) | start.astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids), pa.array(packed), pa.array(known)], ["key", "doc_id", "packed", "known"])
-
-
-def removed_starts(docs: DataFrame) -> DataFrame:
-    """(doc_id, starts) of the windows that also start earlier."""
-    found = attach(docs, recurring_positions(docs)).mapInArrow(find_windows, "key long, doc_id long, packed long, known boolean")
-    start = F.col("packed").bitwiseAND(0xFFFFFFFF)
-    earliest = F.min(F.struct("doc_id", start.alias("start"))).over(Window.partitionBy("key", F.shiftright("packed", 32)))
-    found = found.withColumn("earliest", earliest).where(F.col("known") | (F.struct("doc_id", start.alias("start")) > F.col("earliest")))
-    return found.groupBy("doc_id").agg(F.collect_list(start.cast("int")).alias("starts"))
+        twin = later[a] & (ids[a] == ids[b]) & (start[a] == start[b])
+        for i in np.flatnonzero(twin):
+            later[a[i]] = later[b[i]]
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (later[1:] != later[:-1]) | (~later[1:] & (key[1:] != key[:-1]))]) if len(h) else later
+        cut = np.flatnonzero(new)
+        length = np.diff(np.append(cut, len(h)))
+        done = later[cut]
+        keys = np.where(done, mix(mix(ids[cut].astype(np.uint64)) ^ start[cut].astype(np.uint64)), key[cut])
+        kept = h[~later]
+        ends = np.cumsum(np.where(done, 0, length))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(kept.view(np.int64)), mask=pa.array(done)) if len(cut) else pa.array([], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[cut]), pa.array(start[cut].astype(np.int32)), pa.array(length.astype(np.int32)), lists], ["key", "doc_id", "start", "length", "hashes"])
+
+
+def removed_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, runs): runs of windows that also start earlier."""
+    found = attach(docs, recurring_positions(docs)).mapInArrow(find_windows, "key long, doc_id long, start int, length int, hashes array<long>")
+    # equal windows share their phrase, so partitions by phrase hold all that the window below compares
+    found = found.repartition("key")
+    each = found.select("key", "doc_id", "start", "length", F.posexplode_outer("hashes").alias("at", "hash"))
+    each = each.withColumn("start", F.col("start") + F.coalesce("at", F.lit(0))).withColumn("length", F.when(F.col("at").isNull(), F.col("length")).otherwise(1))
+    place = F.struct("doc_id", "start")
+    each = each.withColumn("earliest", F.min(place).over(Window.partitionBy("key", "hash")))
+    out = each.where(F.col("hash").isNull() | (place > F.col("earliest")))
+    return out.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("runs"))
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        starts, copies = batch.column("starts"), batch.column("copy")
+        runs, copies = batch.column("runs"), batch.column("copy")
         for i, text in enumerate(batch.column("text").to_pylist()):
             words = (text or "").encode().split()
             n, kept = len(words), words
             if copies[i].is_valid:
                 kept = [] if n >= WINDOW else words
-            elif starts[i].is_valid:
+            elif runs[i].is_valid:
                 marks = np.zeros(n + 1, np.int32)
-                at = starts[i].values.to_numpy()
+                at = runs[i].values.field("start").to_numpy()
                 np.add.at(marks, at, 1)
-                np.add.at(marks, at + WINDOW, -1)
+                np.add.at(marks, at + runs[i].values.field("length").to_numpy() + WINDOW - 1, -1)
                 kept = list(compress(words, (np.cumsum(marks[:-1]) == 0).tolist()))
             joined = b" ".join(kept)
             out.append((n, n - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode()))
@@ -203,7 +217,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = id_and_text(docs, id_col, text_col)
     copies = later_copies(docs)
     dealt = attach(dealt_by_id(docs), copies)
-    out = attach(dealt, removed_starts(dealt))
+    out = attach(dealt, removed_runs(dealt))
     return out.mapInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
