@@ -28,6 +28,8 @@ from .common import table, total_bytes
 
 BUCKET_BYTES = 8 << 20
 BLOCK = 1024
+#: So many buckets' starting positions (16 bytes each) are broadcast at most; beyond, they are joined by a shuffle.
+BROADCAST_BUCKETS = 200_000
 
 
 def scatter(docs: DataFrame, buckets: int, seed: int) -> DataFrame:
@@ -53,6 +55,8 @@ def external_shuffle(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, seed: in
     within = F.sum("_n").over(Window.partitionBy("_block").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_block", "_bucket", F.coalesce(within, F.lit(0)).alias("_within")).join(blocks, "_block")
     starts = starts.select("_bucket", (F.col("_base") + F.col("_within")).alias("_start"))
+    if buckets <= BROADCAST_BUCKETS:  # else the packed rows would be shuffled again
+        starts = F.broadcast(starts)
     out = packed.join(starts, "_bucket").select("_start", F.posexplode("_rows").alias("_at", "_each"))
     return out.select("_each._row.*", (F.col("_start") + F.col("_at")).alias("_position"))
 
