@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import Words, covered, id_and_text, mix, per_row, repeated, rolling, table, text_bytes, text_parts
 
 #: The largest share of a text's word characters inside repeated n-grams, by n.
-MAX_NGRAM_COVERAGE = {4: 0.45, 6: 0.35, 8: 0.30, 10: 0.25}
+MAX_NGRAM_COVERAGE = {4: 0.45, 6: 0.42, 8: 0.40, 10: 0.38}
 #: The largest share of lines, and of word characters in lines, that repeat an earlier line.
-MAX_DUP_LINES, MAX_DUP_LINE_CHARS = 0.30, 0.20
+MAX_DUP_LINES, MAX_DUP_LINE_CHARS = 0.30, 0.25
+#: A line or two that comes again, a heading say, is no fault of a short text.
+FEW_DUP_LINES = 2
 #: The largest number of symbols per word.
 MAX_SYMBOLS_PER_WORD = 0.25
 MIN_WORDS = 50
@@ -104,7 +106,8 @@ def verdict(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     bad = base.copy()
     for k, most in MAX_NGRAM_COVERAGE.items():
         bad |= m[f"dup_chars_{k}"] > most * m["word_chars"]
-    bad |= (m["n_dup_lines"] > MAX_DUP_LINES * m["n_lines"]) | (m["dup_line_chars"] > MAX_DUP_LINE_CHARS * m["word_chars"])
+    lines = (m["n_dup_lines"] > MAX_DUP_LINES * m["n_lines"]) | (m["dup_line_chars"] > MAX_DUP_LINE_CHARS * m["word_chars"])
+    bad |= lines & (m["n_dup_lines"] > FEW_DUP_LINES)
     bad |= m["n_symbols"] > MAX_SYMBOLS_PER_WORD * n
     return base, ~bad
 
