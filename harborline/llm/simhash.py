@@ -310,13 +310,66 @@ def _similar(least: float):  # noqa: ANN202
     return test
 
 
+def prefixes(sets: DataFrame, similarity: float, common: np.ndarray) -> DataFrame:
+    """(doc_id, comp, n, place, short, shingle): the shingles by which similar sets must meet.
+
+    Sets are put in one order: shingles outside `common` by their hash, then
+    those in it, the most frequent last.  If the smaller of two sets has n
+    shingles and the Jaccard similarity is s or more, one of its first
+    n - 2s/(1+s) n + 1 (`short`) is among the first m - sm + 1 of the larger.
+    Any order gives all pairs; this one keeps frequent shingles out of the way.
+    """
+    sought = np.sort(common)
+    rank = np.argsort(common)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, place, short, n, values = [], [], [], [], []
+            for i, raw in enumerate(batch.column("shingles").to_pylist()):
+                own = np.frombuffer(raw, np.uint32)
+                if not len(own):
+                    continue
+                late = np.zeros(len(own), np.int64)
+                if len(sought):
+                    k = np.minimum(np.searchsorted(sought, own), len(sought) - 1)
+                    late = np.where(sought[k] == own, len(sought) - rank[k], 0)
+                take = len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1
+                less = len(own) - int(np.ceil(2 * similarity / (1 + similarity) * len(own) - 1e-9)) + 1
+                values.append(own[np.lexsort((own, late))[:take]].astype(np.int64))
+                rows.append(np.full(len(values[-1]), i))
+                place.append(np.arange(len(values[-1])))
+                short.append(place[-1] < less)
+                n.append(np.full(len(values[-1]), len(own)))
+            if rows:
+                ids = batch.select(["doc_id", "comp"]).take(pa.array(np.concatenate(rows)))
+                columns = [np.concatenate(n).astype(np.int32), np.concatenate(place).astype(np.int32), np.concatenate(short), np.concatenate(values)]
+                yield pa.RecordBatch.from_arrays([*ids.columns, *map(pa.array, columns)], ["doc_id", "comp", "n", "place", "short", "shingle"])
+
+    return sets.select("doc_id", "comp", "shingles").mapInArrow(find, "doc_id long, comp long, n int, place int, short boolean, shingle long")
+
+
+def common_shingles(sets: DataFrame, least: int = 16, limit: int = 200_000) -> np.ndarray:
+    """The most frequent shingles of the sets, the most frequent first: 0.8 MB at most."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("shingles").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.uint32).astype(np.int64))], ["shingle"])
+
+    counts = sets.select("shingles").mapInArrow(find, "shingle long").groupBy("shingle").count().where(F.col("count") >= least)
+    return counts.orderBy(F.desc("count"), "shingle").limit(limit).toPandas()["shingle"].to_numpy().astype(np.uint32)
+
+
 def near_duplicate_roots(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
     """(doc_id, root) of documents that are not the smallest id of their group.
 
     Groups are the connected components over pairs of Jaccard similarity
-    `similarity` or more on word shingles.  Candidates come from the vantage
-    search over band fingerprints: each member of a set of linked fingerprints
-    is compared with three of its members, the exact sets deciding.
+    `similarity` or more on word shingles, the exact sets deciding.  Documents
+    meet by the vantage search over band fingerprints.  Each member of a set of
+    linked fingerprints is first compared with three of its members.  Sets that
+    this leaves in several components (a shared passage, a chain of drifting
+    copies) are open: all pairs among their members are found by a prefix join
+    over the shingles, again leaders first, then every pair that is still apart.
     """
     docs = id_and_text(docs).where("doc_id IS NOT NULL")
     prints = materialise(band_prints(docs, size))
@@ -330,9 +383,41 @@ def near_duplicate_roots(docs: DataFrame, size: int = 5, similarity: float = 0.8
     pairs = materialise(pairs.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct())
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = materialise(shingle_sets(docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]))
-    x, y = (sets.select(F.col("doc_id").alias(i), F.col("shingles").alias(s)) for i, s in (("a", "x"), ("b", "y")))
-    links = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
-    nodes = connected_components(links.union(copies))
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        x, y = (sets.select(F.col("doc_id").alias(i), F.col("shingles").alias(s)) for i, s in (("a", "x"), ("b", "y")))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
+
+    def labelled(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+        return rows.join(nodes.select(F.col("node").alias("doc_id"), F.col("root").alias("comp")), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+
+    def several(rows: DataFrame, key: str) -> DataFrame:
+        return rows.groupBy(key).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select(key)
+
+    links = materialise(similar(pairs).union(copies))
+    nodes = connected_components(links)
+    members = labelled(each, nodes)
+    apart = members.join(several(members, "root"), "root", "left_semi").select("doc_id").distinct()
+    left = materialise(labelled(sets.join(apart, "doc_id", "left_semi"), nodes))
+    if not left.isEmpty():
+        rows = materialise(prefixes(left, similarity, common_shingles(left)))
+        rows = materialise(rows.join(several(rows, "shingle"), "shingle", "left_semi"))
+        heads = rows.groupBy("shingle").agg(*(F.min_by(F.struct("doc_id", "comp", "n"), F.xxhash64("doc_id", F.lit(k))).alias(f"h{k}") for k in range(2)))
+        near = rows.join(heads, "shingle").select("doc_id", "comp", "n", F.explode(F.array("h0", "h1")).alias("h")).where("comp != h.comp")
+        near = near.where(F.least("n", "h.n") >= similarity * F.greatest("n", "h.n") - 1e-9)
+        near = near.select(F.least("doc_id", "h.doc_id").alias("a"), F.greatest("doc_id", "h.doc_id").alias("b")).distinct()
+        links = materialise(links.union(similar(near)))
+        nodes = connected_components(links)
+        rows = labelled(rows.drop("comp"), nodes)
+        rows = materialise(rows.join(several(rows, "shingle"), "shingle", "left_semi"))
+        p, q = rows.where("short").alias("p"), rows.alias("q")
+        reach = F.least(F.col("p.n") - F.col("p.place"), F.col("q.n") - F.col("q.place"))
+        meet = (F.col("p.comp") != F.col("q.comp")) & (F.struct("p.n", "p.doc_id") < F.struct("q.n", "q.doc_id")) & (F.col("p.n") >= similarity * F.col("q.n") - 1e-9)
+        # both are in one order: from the first shared shingle on no more than `reach` can be shared
+        enough = reach >= similarity / (1 + similarity) * (F.col("p.n") + F.col("q.n")) - 1e-9
+        rest = p.join(q, (F.col("p.shingle") == F.col("q.shingle")) & meet & enough)
+        rest = rest.select(F.least("p.doc_id", "q.doc_id").alias("a"), F.greatest("p.doc_id", "q.doc_id").alias("b")).distinct()
+        nodes = connected_components(links.union(similar(rest)))
     return nodes.where("node != root").select(F.col("node").alias("doc_id"), "root")
 
 

@@ -71,3 +71,34 @@ def test_quality_on_odd_tables(spark):
     got = quality.quality_report(df).collect()
     assert [(r.doc_id, r.n_words, r.base_failed, r.kept) for r in sorted(got, key=lambda r: (r.doc_id, r.n_words))] == [(1, 0, True, False), (2, 0, True, False), (3, 0, True, False), (4, 49, True, False), (4, 27_000, True, False)]
     assert quality.quality_report(df.limit(0)).count() == 0
+
+
+def test_near_duplicates_in_sets_of_many_against_brute_force(spark):
+    rnd = random.Random(5)
+    fresh = iter(range(10**6))
+    word = lambda: f"w{next(fresh)}"
+    passage = [word() for _ in range(150)]
+    texts = []
+    for _ in range(60):  # pairs of similarity 0.8 and more that share a passage with all others
+        own = [word() for _ in range(62)]
+        texts += [passage + own, passage + own[:-20] + [word() for _ in range(20)]]
+    for _ in range(4):  # only neighbours are similar
+        v = [word() for _ in range(200)]
+        for step in range(30):
+            texts.append(list(v))
+            v[step * 6 % 200 : step * 6 % 200 + 10] = [word() for _ in range(10)]
+    ids = rnd.sample(range(10_000), len(texts))
+    docs = [(i, " ".join(t)) for i, t in zip(ids, texts, strict=True)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in docs}
+    pairs = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    group = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i, j in pairs:
+            low = min(group[i], group[j])
+            changed |= group[i] != low or group[j] != low
+            group[i] = group[j] = low
+    assert len(set(group.values())) < len(group) // 2 + 5
+    got = simhash.near_duplicate_roots(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.root for r in got} == {i: r for i, r in group.items() if i != r}
