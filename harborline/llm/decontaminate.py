@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, id_and_text, mix, rolling, table, text_bytes, text_parts, word_hashes
+from .common import Words, id_and_text, materialise, mix, rolling, table, text_bytes, text_parts, word_hashes
 
 WINDOW = 8
 MIN_PLAIN = 4
@@ -54,8 +54,8 @@ def _canonical(word: str) -> tuple[str, int, bool, bool]:
     return low, kind, kind == PLAIN and bare[:1].isupper() and bool(NAME.fullmatch(bare)), word.rstrip("\"'”’)]")[-1:] in (".", "!", "?", ":")
 
 
-def template_windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """Per variant and size: rows, positions, variant, size, hashes, types and numbers of tokens, and the tokens."""
+def template_windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]]:
+    """Per variant and size: rows, positions, variant, size, hashes, first tokens, types of tokens, tokens per row, and the tokens."""
     data, off = text_bytes(texts)
     w = Words(data, off)
     which, distinct = w.encoded()
@@ -77,6 +77,7 @@ def template_windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.nda
     which, doc, opens = which[stay], w.doc[stay], opens[stay]
     start = np.searchsorted(doc, np.arange(len(off)))
     position = np.arange(len(doc)) - start[doc]
+    counts = np.bincount(doc, minlength=len(off) - 1)
     for variant in (0, 1):
         types = kind[which].copy()
         if variant:
@@ -87,17 +88,20 @@ def template_windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.nda
             h = rolling(values, size)
             at = np.flatnonzero(doc[: len(h)] == doc[size - 1 :]) if len(h) else np.zeros(0, np.int64)
             at = at[plain[at + size] - plain[at] >= min(MIN_PLAIN, size)]
-            yield doc[at], position[at], variant, size, mix(h[at] ^ np.uint64(size)), at, types, [token[which], names]
+            yield doc[at], position[at], variant, size, mix(h[at] ^ np.uint64(size)), at, types, counts, [token[which], names]
 
 
-def windows(table_: DataFrame, sizes: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """(doc_id, position, variant, size, hash, slots): template windows, only those wanted if a sorted array is given."""
+def windows(table_: DataFrame, sizes: list[int], wanted: np.ndarray | None, own: bool = False) -> DataFrame:
+    """(doc_id, position, variant, size, hash, slots): template windows, only those wanted if a sorted array is given.
+
+    own: each text gets windows of one size only, the largest that it has tokens for.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_parts(batches, PART_BYTES):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            for doc, position, variant, size, h, at, types, (token, names) in template_windows(part.column("text"), sizes):
-                use = np.arange(len(h))
+            for doc, position, variant, size, h, at, types, counts, (token, names) in template_windows(part.column("text"), sizes):
+                use = np.flatnonzero(np.minimum(counts[doc], max(sizes)) == size) if own else np.arange(len(h))
                 if wanted is not None:
                     k = np.minimum(np.searchsorted(wanted, h), max(len(wanted) - 1, 0))
                     use = use[wanted[k] == h] if len(wanted) else use[:0]
@@ -115,12 +119,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """One row per document and item that leaked into it: doc_id, item_id, n_covered, n_windows, coverage, changed_slots."""
     docs = id_and_text(docs, id_col, text_col)
     items = id_and_text(items, item_col, item_text).dropDuplicates()
-    words = F.size(F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda x: F.regexp_replace(x, r"^[\W_]+|[\W_]+$", "") != ""))
-    sizes = [r[0] for r in items.select(F.least(words, F.lit(WINDOW)).alias("n")).where("n > 0").distinct().orderBy("n").collect()]
-    if not sizes:
-        sizes = [WINDOW]
-    n = F.least(words, F.lit(WINDOW))
-    own = windows(items, sizes, None).join(items.select("doc_id", n.alias("size")), ["doc_id", "size"])
+    own = materialise(windows(items, list(range(1, WINDOW + 1)), None, own=True))
+    sizes = [r[0] for r in own.select("size").distinct().orderBy("size").collect()] or [WINDOW]
     own = own.select(F.col("doc_id").alias("item_id"), F.col("position").alias("item_position"), "variant", "hash", F.col("slots").alias("item_slots"))
     totals = own.groupBy("item_id", "variant").agg(F.count("*").alias("n_windows"))
     few = own.select("hash").distinct().limit(filter_limit + 1).toPandas()["hash"].to_numpy()

@@ -24,3 +24,8 @@ def test_copies_and_new_values_are_found_and_others_are_not(spark):
 def test_short_items_and_empty_tables(spark):
     assert set(run(spark, [(1, "well, so it goes on forever then")], [(5, "It goes on forever"), (6, None), (7, "...")])) == {(1, 5)}
     assert run(spark, []) == {} and run(spark, [(1, ITEM)], []) == {}
+
+
+def test_items_in_other_scripts(spark):
+    items = [(1, "Поезд из Москвы до Твери проходит путь за два часа и потом ждёт четверть часа на станции"), (2, "Πόσο διαρκεί το ταξίδι")]
+    assert set(run(spark, [(1, "перед этим " + items[0][1] + " после"), (2, "σήμερα " + items[1][1]), (3, "иной текст")], items)) == {(1, 1), (2, 2)}
