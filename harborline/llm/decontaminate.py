@@ -14,9 +14,9 @@ hashes are sent along so that only windows that will join leave the tokenizing
 tasks.  Beyond that number all windows go to the join, which is the same.
 
 Defined results: null and empty texts have no windows and are clean; an item
-shorter than a window is one window of its own length; items or windows with
-too few plain words count only if the item has no others; repeated rows of
-documents (same doc_id) count as one document; empty tables give no rows;
+shorter than a window is one window of its own length; windows with too few
+plain words count only if the item has no others, and then word for word, values
+included; repeated rows of documents (same doc_id) count as one document; empty tables give no rows;
 other columns are not read.
 """
 
@@ -43,6 +43,8 @@ UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g k
 NUMBER = re.compile(r"[+-]?[\d][\d.,:/]*%?")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 NAME = re.compile(r"[^\W\d_][^\W\d_]*[a-zß-öø-ÿ]['’\w-]*")
+#: The variant without placeholders, beside 0 and 1 without and with those for names.
+LITERAL = 2
 PLAIN, SLOT_NUMBER, SLOT_UNIT, SLOT_NAME = 0, 1, 2, 3
 
 
@@ -54,8 +56,11 @@ def _canonical(word: str) -> tuple[str, int, bool, bool]:
     return low, kind, kind == PLAIN and bare[:1].isupper() and bool(NAME.fullmatch(bare)), word.rstrip("\"'”’)]")[-1:] in (".", "!", "?", ":")
 
 
-def template_windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]]:
-    """Per variant and size: rows, positions, variant, size, hashes, first tokens, types of tokens, tokens per row, and the tokens."""
+def template_windows(texts: pa.Array, sizes: list[int], literal: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]]:
+    """Per variant and size: rows, positions, variant, size, hashes, first tokens, types of tokens, tokens per row, and the tokens.
+
+    Variant LITERAL, for the sizes in `literal`, has no slots and all windows.
+    """
     data, off = text_bytes(texts)
     w = Words(data, off)
     which, distinct = w.encoded()
@@ -78,30 +83,36 @@ def template_windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[np.nda
     start = np.searchsorted(doc, np.arange(len(off)))
     position = np.arange(len(doc)) - start[doc]
     counts = np.bincount(doc, minlength=len(off) - 1)
-    for variant in (0, 1):
-        types = kind[which].copy()
-        if variant:
+    for variant, lengths in ((0, sizes), (1, sizes), (LITERAL, literal)):
+        types = kind[which].copy() if variant != LITERAL else np.full(len(which), PLAIN, np.int8)
+        if variant == 1:
             types[(types == PLAIN) & proper[which] & ~opens] = SLOT_NAME
         values = np.where(types == PLAIN, hashes[token[which]], mix(types.astype(np.uint64) + np.uint64(7)))
         plain = np.concatenate([[0], np.cumsum(types == PLAIN)])
-        for size in sizes:
+        for size in lengths:
             h = rolling(values, size)
             at = np.flatnonzero(doc[: len(h)] == doc[size - 1 :]) if len(h) else np.zeros(0, np.int64)
-            at = at[plain[at + size] - plain[at] >= min(MIN_PLAIN, size)]
-            yield doc[at], position[at], variant, size, mix(h[at] ^ np.uint64(size)), at, types, counts, [token[which], names]
+            if variant != LITERAL:
+                at = at[plain[at + size] - plain[at] >= min(MIN_PLAIN, size)]
+            yield doc[at], position[at], variant, size, mix(h[at] ^ np.uint64(size + (variant == LITERAL) * 64)), at, types, counts, [token[which], names]
 
 
-def windows(table_: DataFrame, sizes: list[int], wanted: np.ndarray | None, own: bool = False) -> DataFrame:
+def windows(table_: DataFrame, sizes: list[int], literal: list[int], wanted: np.ndarray | None, own: bool = False) -> DataFrame:
     """(doc_id, position, variant, size, hash, slots): template windows, only those wanted if a sorted array is given.
 
-    own: each text gets windows of one size only, the largest that it has tokens for.
+    own: each text gets windows of one size only, the largest that it has tokens
+    for, and literal ones only if it has no others.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_parts(batches, PART_BYTES):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            for doc, position, variant, size, h, at, types, counts, (token, names) in template_windows(part.column("text"), sizes):
+            bare = np.ones(len(ids), bool)
+            for doc, position, variant, size, h, at, types, counts, (token, names) in template_windows(part.column("text"), sizes, literal):
                 use = np.flatnonzero(np.minimum(counts[doc], max(sizes)) == size) if own else np.arange(len(h))
+                if own and variant == LITERAL:
+                    use = use[bare[doc[use]]]
+                bare[doc[use]] &= variant == LITERAL
                 if wanted is not None:
                     k = np.minimum(np.searchsorted(wanted, h), max(len(wanted) - 1, 0))
                     use = use[wanted[k] == h] if len(wanted) else use[:0]
@@ -119,13 +130,14 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """One row per document and item that leaked into it: doc_id, item_id, n_covered, n_windows, coverage, changed_slots."""
     docs = id_and_text(docs, id_col, text_col)
     items = id_and_text(items, item_col, item_text).dropDuplicates()
-    own = materialise(windows(items, list(range(1, WINDOW + 1)), None, own=True))
-    sizes = [r[0] for r in own.select("size").distinct().orderBy("size").collect()] or [WINDOW]
+    own = materialise(windows(items, every := list(range(1, WINDOW + 1)), every, None, own=True))
+    kinds = own.select("size", (F.col("variant") == LITERAL).alias("literal")).distinct().orderBy("size").collect()
+    sizes, literal = ([r["size"] for r in kinds if r["literal"] == flag] for flag in (False, True))
     own = own.select(F.col("doc_id").alias("item_id"), F.col("position").alias("item_position"), "variant", "hash", F.col("slots").alias("item_slots"))
     totals = own.groupBy("item_id", "variant").agg(F.count("*").alias("n_windows"))
     few = own.select("hash").distinct().limit(filter_limit + 1).toPandas()["hash"].to_numpy()
     wanted = np.sort(few.astype(np.int64).view(np.uint64)) if len(few) <= filter_limit else None
-    found = windows(docs, sizes, wanted).join(own, ["variant", "hash"])
+    found = windows(docs, sizes, literal, wanted).join(own, ["variant", "hash"])
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     found = found.select("doc_id", "item_id", "variant", "item_position", (F.col("position") - F.col("item_position")).alias("shift"), pairs.alias("pairs"))
     each = found.groupBy("doc_id", "item_id", "variant", "shift").agg(F.collect_set("item_position").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))

@@ -29,3 +29,10 @@ def test_short_items_and_empty_tables(spark):
 def test_items_in_other_scripts(spark):
     items = [(1, "Поезд из Москвы до Твери проходит путь за два часа и потом ждёт четверть часа на станции"), (2, "Πόσο διαρκεί το ταξίδι")]
     assert set(run(spark, [(1, "перед этим " + items[0][1] + " после"), (2, "σήμερα " + items[1][1]), (3, "иной текст")], items)) == {(1, 1), (2, 2)}
+
+
+def test_items_of_numbers_and_units(spark):
+    items = [(1, "What is 12 times 7 ?"), (2, "5 km + 3 km = 8 km"), (3, "10 km 20 km 30 km 40 km 50 km 60 km")]
+    docs = [(1, "They ask: what is 12 times 7? Nobody knows."), (2, "so 5 km + 3 km = 8 km again"), (3, "what is 13 times 7 ?"), (4, "5 km + 4 km = 9 km"), (5, "12 km 13 km 14 km 15 km " * 50), (6, items[2][1])]
+    for limit in (1_000_000, 0):
+        assert set(run(spark, docs, items, limit)) == {(1, 1), (2, 2), (6, 3)}
