@@ -3,10 +3,11 @@
 Numbers, names and units become typed placeholders, so a question that was
 given other values keeps its template.  Windows of template tokens of documents
 and of benchmark items are hash-joined; windows that join at one displacement
-are one occurrence, and its slots must be consistent: one item value stands for
-one document value and the other way round.  An occurrence counts for the item
-windows that it covers; a document is contaminated by an item if half of the
-item's windows are covered.  Windows are built twice, with and without the
+are one occurrence.  Its windows with unchanged slots count; those with other
+values must be consistent, each item value standing for the document value that
+it mostly has in this occurrence (two may become one).  A document is
+contaminated by an item if half of the item's windows are covered, or 13 of its
+tokens in a row in one occurrence.  Windows are built twice, with and without the
 placeholder for names, since a leak may have lost its capital letters.
 
 The item's windows are few as a rule: up to ``FILTER_LIMIT`` of them, their
@@ -23,6 +24,7 @@ other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,8 @@ from .common import Words, id_and_text, materialise, mix, rolling, table, text_b
 WINDOW = 8
 MIN_PLAIN = 4
 MIN_COVERED = 0.5
+#: So many tokens of an item in a row are a leak, whatever part of the item they are.
+MIN_RUN = 13
 #: So many item windows are sent to the tasks at most: 8 MB of hashes.
 FILTER_LIMIT = 1_000_000
 PART_BYTES = 4 << 20
@@ -126,6 +130,38 @@ def windows(table_: DataFrame, sizes: list[int], literal: list[int], wanted: np.
     return table_.mapInArrow(find, "doc_id long, position int, variant int, size int, hash long, slots array<string>")
 
 
+OCCURRENCE = "doc_id long, item_id long, variant int, at array<int>, changed int, run int"
+
+
+def consistent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each occurrence the windows that count, their changed pairs of values and their longest run of tokens.
+
+    Windows with the item's own values count.  Others count if each of their
+    pairs is the most frequent one of its item value in this occurrence, the
+    unchanged one at a tie.
+    """
+    for batch in batches:
+        out = []
+        for doc, item, variant, ws in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "variant", "ws")), strict=True):
+            votes = Counter(pair for w in ws for pair in zip(w["i"], w["d"], strict=True))
+            best: dict[str, tuple[int, bool, str]] = {}
+            for (i, d), n in votes.items():
+                best[i] = max(best.get(i, (0, False, "")), (n, i == d, d))
+            ws = sorted((w for w in ws if w["i"] == w["d"] or all(best[i][2] == d for i, d in zip(w["i"], w["d"], strict=True))), key=lambda w: w["item_position"])
+            if not ws:
+                continue
+            changed = {pair for w in ws for pair in zip(w["i"], w["d"], strict=True) if pair[0] != pair[1]}
+            run, since, end = 0, 0, -1
+            for w in ws:
+                since = w["item_position"] if w["item_position"] > end else since
+                end = w["item_position"] + w["size"]
+                run = max(run, end - since)
+            out.append((doc, item, variant, sorted({w["item_position"] for w in ws}), len(changed), run))
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int32()]
+        columns = zip(*out, strict=True) if out else [[]] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], ["doc_id", "item_id", "variant", "at", "changed", "run"])
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", filter_limit: int = FILTER_LIMIT) -> DataFrame:
     """One row per document and item that leaked into it: doc_id, item_id, n_covered, n_windows, coverage, changed_slots."""
     docs = id_and_text(docs, id_col, text_col)
@@ -138,18 +174,14 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     few = own.select("hash").distinct().limit(filter_limit + 1).toPandas()["hash"].to_numpy()
     wanted = np.sort(few.astype(np.int64).view(np.uint64)) if len(few) <= filter_limit else None
     found = windows(docs, sizes, literal, wanted).join(own, ["variant", "hash"])
-    pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    found = found.select("doc_id", "item_id", "variant", "item_position", (F.col("position") - F.col("item_position")).alias("shift"), pairs.alias("pairs"))
-    each = found.groupBy("doc_id", "item_id", "variant", "shift").agg(F.collect_set("item_position").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    left = F.array_distinct(F.transform("pairs", lambda p: p["i"]))
-    right = F.array_distinct(F.transform("pairs", lambda p: p["d"]))
-    changed = F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))
-    each = each.where((F.size(left) == F.size("pairs")) & (F.size(right) == F.size("pairs")))
-    each = each.select("doc_id", "item_id", "variant", "at", changed.alias("changed"))
-    whole = each.groupBy("doc_id", "item_id", "variant").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_covered"), F.max("changed").cast("long").alias("changed_slots"))
+    window = F.struct("item_position", F.col("item_slots").alias("i"), F.col("slots").alias("d"), "size")
+    found = found.select("doc_id", "item_id", "variant", (F.col("position") - F.col("item_position")).alias("shift"), window.alias("w"))
+    each = found.groupBy("doc_id", "item_id", "variant", "shift").agg(F.collect_set("w").alias("ws")).drop("shift").mapInArrow(consistent, OCCURRENCE)
+    covered = F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long")
+    whole = each.groupBy("doc_id", "item_id", "variant").agg(covered.alias("n_covered"), F.max("changed").cast("long").alias("changed_slots"), F.max("run").alias("run"))
     whole = whole.join(totals, ["item_id", "variant"]).withColumn("coverage", F.col("n_covered") / F.col("n_windows"))
     best = F.max(F.struct("coverage", "n_covered", "n_windows", "changed_slots"))
-    out = whole.groupBy("doc_id", "item_id").agg(best.alias("b")).where(F.col("b.coverage") >= MIN_COVERED)
+    out = whole.groupBy("doc_id", "item_id").agg(best.alias("b"), F.max("run").alias("run")).where((F.col("b.coverage") >= MIN_COVERED) | (F.col("run") >= MIN_RUN))
     return out.select("doc_id", "item_id", "b.n_covered", "b.n_windows", "b.coverage", "b.changed_slots")
 
 

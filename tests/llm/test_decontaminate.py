@@ -36,3 +36,20 @@ def test_items_of_numbers_and_units(spark):
     docs = [(1, "They ask: what is 12 times 7? Nobody knows."), (2, "so 5 km + 3 km = 8 km again"), (3, "what is 13 times 7 ?"), (4, "5 km + 4 km = 9 km"), (5, "12 km 13 km 14 km 15 km " * 50), (6, items[2][1])]
     for limit in (1_000_000, 0):
         assert set(run(spark, docs, items, limit)) == {(1, 1), (2, 2), (6, 3)}
+
+
+def test_slots_window_by_window_and_long_excerpts(spark):
+    used_twice = "A farmer sold 12 baskets of ripe apples to the first buyer on Monday and then another 12 baskets of green pears to the second buyer on Friday before closing the stall"
+    differ = "The baker needs 3 cups of white flour for every loaf of bread and 4 cups of cold water for every tray of soft rolls"
+    long = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59))
+    items = [(1, used_twice), (2, differ), (3, long)]
+    docs = [
+        (1, used_twice.replace("another 12", "another 15")),
+        (2, differ.replace("3", "5").replace("4", "5")),
+        (3, "before " + " ".join(long.split()[10:35]) + " after"),
+        (4, " ".join(long.split()[10:22]) + " after"),
+        (5, used_twice.replace("sold 12", "sold 14").replace("another 12", "another 15")),
+    ]
+    got = run(spark, docs, items)
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (5, 1)}
+    assert got[3, 3].n_covered == 18 and got[2, 2].changed_slots == 2 and got[2, 2].coverage == 1
