@@ -7,22 +7,25 @@ A byte goes if some WINDOW-byte string that covers it starts anywhere else too.
     whose gram occurs once are dropped, and with them their windows.
 2.  Suffixes.  What is sorted is the suffix at each remaining anchor, as far as
     its windows reach, with the bytes before it as its reversed prefix.  Spark's
-    sampled splitters range-partition the suffixes by their leading bytes; a
-    bucket sorts its suffixes and its prefixes by multikey quicksort (eight
-    bytes at a time) and takes the common lengths of neighbours.  A window at
-    offset o before its anchor has an equal if another anchor shares W - o
-    bytes of suffix and o bytes of prefix: classes of both orders, met.
-3.  Boundaries.  A class that touches the edge of a bucket may go on in the
-    next.  Its windows without an equal, and one witness of those with, are
-    dealt anew by their prefixes, where classes are small that were large; what
-    touches an edge there as well is compared window by window over a hash.
+    sampled splitters range-partition the suffixes by their LEAD leading bytes,
+    into MOST_RANGES ranges at most, so that the sample at the driver is bounded.
+    A range is sorted by Spark and read in buckets of BUCKET_BYTES, however large
+    it is; a bucket sorts its suffixes and its prefixes by multikey quicksort and
+    takes the common lengths of neighbours.  A window at offset o before its
+    anchor has an equal if another anchor shares W - o bytes of suffix and o
+    bytes of prefix: classes of both orders, met.
+3.  Boundaries.  What shares the leading bytes of a bucket's first or last
+    suffix may have equals in the next bucket.  Its windows without an equal, and
+    one witness of those with, are dealt anew by their prefixes, where classes
+    are small that were large; what touches an edge there as well is compared
+    window by window over a hash.
 
 Equal contexts inside one scan part are settled there and send one witness,
-and buckets are bounded since rows that are equal in both strings are split
-by id: no passage is too frequent for a task.
+and buckets are bounded whatever a range holds: no passage is too frequent for
+a task.
 
 Defined results: null and empty texts have no bytes; texts shorter than WINDOW
-stay whole; a text that another row holds too goes as a whole; rows without an
+stay whole; very long texts are cut into no parts; a text that another row holds too goes as a whole; rows without an
 id lose nothing and count for nothing; each row that repeats an id counts as a
 text of its own; an empty table gives no rows; other columns are not read.
 """
@@ -45,6 +48,10 @@ WINDOW, GRAM = 400, 48
 PART_BYTES = 1 << 20
 #: Bytes of context that a bucket gets.
 BUCKET_BYTES = 4 << 20
+#: Leading bytes that the ranges go by; ranges at most, for each of which the driver sees 100 sampled keys of some 80 bytes.
+LEAD, MOST_RANGES = 24, 2048
+#: Sets of strings up to this size are sorted whole.
+SMALL = 48
 
 SIGNS = mix(np.arange(1, 257))
 
@@ -141,23 +148,21 @@ def matrix(strings: list[bytes], width: int) -> np.ndarray:
 def multikey_order(rows: np.ndarray) -> np.ndarray:
     """Order of equally long byte strings, by multikey quicksort: eight bytes are a character.
 
-    Only strings that tie in all characters so far take part in the next.
+    A set is parted three ways by one character of a pivot; what is equal there
+    goes on with the next character.
     """
     chars = np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
-    order, group = np.arange(len(rows)), np.zeros(len(rows), np.int64)
-    place = np.arange(len(rows))
-    for depth in range(chars.shape[1]):
-        if not len(place):
-            break
-        keys = chars[order[place], depth]
-        s = np.lexsort((keys, group[place]))
-        order[place], keys = order[place][s], keys[s]
-        g = group[place]
-        cut = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (keys[1:] != keys[:-1])]))
-        size = np.diff(np.append(cut, len(place)))
-        group[place] = np.repeat(place[cut], size)
-        place = place[np.repeat(size > 1, size)]
-    return order
+    width, done, stack = chars.shape[1], [], [(np.arange(len(rows)), 0)]
+    while stack:
+        at, depth = stack.pop()
+        if len(at) <= SMALL or depth == width:
+            done.append(at[np.lexsort(chars[at, depth:].T[::-1])] if depth < width else at)
+            continue
+        c = chars[at, depth]
+        pivot = np.partition(c, len(c) // 2)[len(c) // 2]
+        parts = (at[c > pivot], depth), (at[c == pivot], depth + 1), (at[c < pivot], depth)
+        stack += [p for p in parts if len(p[0])]
+    return np.concatenate(done) if done else np.zeros(0, np.int64)
 
 
 def neighbours(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -169,20 +174,46 @@ def neighbours(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
+def edge_depth(order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """How many leading bytes each string shares with the first or the last in sorted order."""
+    whole = np.array([1 << 30], np.int64)
+    first = np.minimum.accumulate(np.concatenate([whole, common]))
+    last = np.minimum.accumulate(np.concatenate([whole, common[::-1]]))[::-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum(first, last)
+    return out
+
+
+def in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows in the order they come, cut into buckets."""
+    rows, size = [], 0
+    for batch in batches:
+        for row in zip(*[batch.column(n).to_pylist() for n in NAMES], strict=True):
+            rows.append(row)
+            size += len(row[6]) + len(row[7])
+            if size >= BUCKET_BYTES:
+                yield rows
+                rows, size = [], 0
+    if rows:
+        yield rows
+
+
 def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The map over buckets that are range-partitioned by suffixes (or by prefixes)."""
+    """The map over ranges that are sorted by the leading bytes of suffixes (or of prefixes)."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*[b.column(n).to_pylist() for n in NAMES], strict=True)]
+        for rows in in_buckets(batches):
+            yield from settle_bucket(rows)
+
+    def settle_bucket(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         m = len(rows)
-        if not m:
-            return
         wide = -(-WINDOW // 8) * 8
         prefixes, suffixes = matrix([r[6] for r in rows], wide), matrix([r[7] for r in rows], wide)
         sides = []
         for side in (prefixes, suffixes):
             order = multikey_order(side)
             sides.append((order, neighbours(side, order)))
+        depth = edge_depth(*sides[1 if by_suffix else 0])
         o_from, o_to = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
         weight = np.array([2 if r[5] else 1 for r in rows])
         out: list[tuple] = []
@@ -191,21 +222,19 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
             active = np.flatnonzero((o_from <= o) & (o <= o_to))
             if not len(active):
                 continue
-            classes, edges = [], []
+            classes = []
             for (order, common), need in zip(sides, (o, WINDOW - o), strict=True):
                 c = np.concatenate([[0], np.cumsum(common < need)])
                 of = np.empty(m, np.int64)
                 of[order] = c
                 classes.append(of)
-                edges.append(c[-1])
             key = classes[0][active] * m + classes[1][active]
             s = np.argsort(key, kind="stable")
             cut = np.flatnonzero(np.concatenate([[True], key[s][1:] != key[s][:-1]]))
             total = np.add.reduceat(weight[active][s], cut)
             dup = np.zeros(len(active), bool)
             dup[s] = np.repeat(total > 1, np.diff(np.append(cut, len(s))))
-            mine, end = (classes[1], edges[1]) if by_suffix else (classes[0], edges[0])
-            at_edge = (mine[active] == 0) | (mine[active] == end)
+            at_edge = depth[active] >= min(WINDOW - o if by_suffix else o, LEAD)
             witness = np.zeros(len(active), bool)
             witness[s[cut]] = True
             hits.append((active[dup], o))
@@ -234,16 +263,19 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
     return settle
 
 
-def buckets(contexts: DataFrame, first: str, second: str) -> DataFrame:
+def ranges(contexts: DataFrame, side: str) -> DataFrame:
+    """contexts by the leading bytes of one side; ties, which may be many, by what follows and by id."""
     size = contexts.select(F.sum(F.length("prefix") + F.length("suffix"))).head()[0] or 0
-    return contexts.repartitionByRange(max(1, math.ceil(size / BUCKET_BYTES)), first, second, "doc_id", "position")
+    n = min(max(1, math.ceil(size / BUCKET_BYTES)), MOST_RANGES)
+    lead, rest = F.substring(side, 1, LEAD), F.xxhash64(side)
+    return contexts.repartitionByRange(n, lead, rest, "doc_id", "position").sortWithinPartitions(lead, rest)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, spans): runs of window starts, both ends included, that recur."""
     contexts = materialise(attach(docs, recurring_anchors(docs)).mapInArrow(find_contexts, CONTEXT))
-    by_suffix = materialise(buckets(contexts.where("kind = 1"), "suffix", "prefix").mapInArrow(resolve(True), CONTEXT))
-    by_prefix = materialise(buckets(by_suffix.where("kind = 1"), "prefix", "suffix").mapInArrow(resolve(False, last=True), CONTEXT))
+    by_suffix = materialise(ranges(contexts.where("kind = 1"), "suffix").mapInArrow(resolve(True), CONTEXT))
+    by_prefix = materialise(ranges(by_suffix.where("kind = 1"), "prefix").mapInArrow(resolve(False, last=True), CONTEXT))
     edges = by_prefix.where("kind = 2")
     total = F.sum(F.when(F.col("many"), 2).otherwise(1)).over(Window.partitionBy("prefix"))
     edges = edges.withColumn("n", total).where("n > 1").drop("n")
