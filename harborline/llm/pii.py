@@ -5,15 +5,19 @@ for cards, mod 97 for IBANs, octets, the calendar), and what is valid is
 replaced by its image under a keyed permutation of its own format: a Feistel
 network over the characters' alphabets, over pairs of 16-bit halves for
 addresses, and over 189 x 773 = 146,097 days, the length of the calendar's
-400-year cycle, for dates.  Check digits are computed anew.  The permutation
+400-year cycle, for dates.  Slashed dates that only read as month/day are
+permuted among themselves: the network is walked until it meets another of them.
+Check digits are computed anew.  The permutation
 depends on key, kind and value only, so equal values stay linked across
 documents, and whoever holds the key can turn it round.
 
 A map over the scan: no exchange, no Python.
 
 Defined results: a null text stays null with counts 0; an empty text stays
-empty; numbers that fail their check stay as they are; repeated rows are
-treated alike; other columns pass through ``pseudonymise`` unchanged.
+empty; very long texts are read to their end; numbers that fail their check,
+and dates outside the years 200 to 9799, stay as they are; repeated rows are
+treated alike; other columns pass through ``pseudonymise`` unchanged, except
+that with counts a column that is called n_<kind> gives way to the count.
 """
 
 from __future__ import annotations
@@ -160,25 +164,41 @@ def ip(m: Column, key: str) -> Column:
 
 
 def _date(m: Column) -> Column:
-    """The date, or null: year first, else day first, else month first."""
-    return F.coalesce(*[F.try_to_date(m, f) for f in ("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy", "MM/dd/yyyy")])
+    """The date, or null: year first, else day first, else month first; whole 400-year cycles only."""
+    d = F.coalesce(*[F.try_to_date(m, f) for f in ("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy", "MM/dd/yyyy")])
+    return F.when(F.year(d).between(200, 9799), d)
 
 
 #: 1800-01-01 in days before 1970; the days of 400 years; their two factors.
 EPOCH_SHIFT, CYCLE, FACTORS = 62_091, 146_097, (189, 773)
+#: Steps of a walk, each of which ends it with a chance of 0.6.
+WALK = 64
+
+
+def _permuted_day(q: Column, key: str) -> Column:
+    """A place in the cycle, permuted."""
+    half = lambda x, n: (F.array(x.cast("long")), F.array(F.lit(n).cast("long")))
+    (left, ra), (right, rb) = half(F.floor(q / FACTORS[1]), FACTORS[0]), half(q % FACTORS[1], FACTORS[1])
+    return let(feistel(left, right, ra, rb, key, "date"), lambda d: d["a"][0] * FACTORS[1] + d["b"][0])
 
 
 def date(m: Column, key: str) -> Column:
     n = F.unix_date(_date(m)).cast("long") + EPOCH_SHIFT
     q = F.pmod(n, F.lit(CYCLE))
-    done = feistel(F.array(F.floor(q / FACTORS[1]).cast("long")), F.array(q % FACTORS[1]), F.array(F.lit(FACTORS[0]).cast("long")), F.array(F.lit(FACTORS[1]).cast("long")), key, "date")
+    day = lambda x: F.date_from_unix_date((n - q + x - EPOCH_SHIFT).cast("int"))
+    month_first = m.contains("/") & F.try_to_date(m, "dd/MM/yyyy").isNull()
 
-    def text(d: Column) -> Column:
-        moved = F.date_from_unix_date((n - q + d["a"][0] * FACTORS[1] + d["b"][0] - EPOCH_SHIFT).cast("int"))
-        picks = [F.when(m.rlike("-"), F.date_format(moved, "yyyy-MM-dd")), F.when(m.rlike(r"\."), F.date_format(moved, "dd.MM.yyyy")), F.when(F.try_to_date(m, "dd/MM/yyyy").isNotNull(), F.date_format(moved, "dd/MM/yyyy")), F.date_format(moved, "MM/dd/yyyy")]
-        return F.coalesce(*picks)
+    def step(s: Column, _: Column) -> Column:
+        moved = let(_permuted_day(s["q"], key), lambda x: F.struct(x.alias("q"), (F.day(day(x)) > 12).alias("done")))
+        return F.when(s["done"], s).otherwise(moved)
 
-    return let(done, text)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(q.alias("q"), F.lit(False).alias("done")), step, lambda s: F.when(s["done"], s["q"]).otherwise(q))
+
+    def text(x: Column) -> Column:
+        moved = day(x)
+        return F.when(m.contains("-"), F.date_format(moved, "yyyy-MM-dd")).when(m.contains("."), F.date_format(moved, "dd.MM.yyyy")).when(month_first, F.date_format(moved, "MM/dd/yyyy")).otherwise(F.date_format(moved, "dd/MM/yyyy"))
+
+    return let(F.when(month_first, walked).otherwise(_permuted_day(q, key)), text)
 
 
 def email(m: Column, key: str) -> Column:
@@ -217,24 +237,23 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     return F.coalesce(out, m)
 
 
-def _count(kind: str) -> Column:
-    of_kind = F.filter("_found", lambda f: f["kind"] == kind)
-    return F.when(F.col("_found").isNull(), F.lit(0)).otherwise(F.size(of_kind)).cast("long")
-
-
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: bool = False) -> DataFrame:
     """docs with private values replaced in text_col; with counts also n_<kind> for each kind."""
-    text = F.col(text_col)
-    found = F.when(text.rlike(PATTERN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    out = docs.withColumn("_found", F.transform(found, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind"))))
+    name = "_found"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    text, found = F.col(f"`{text_col}`"), F.col(name)
+    matches = F.when(text.rlike(PATTERN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    out = docs.withColumn(name, F.transform(matches, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind"))))
     # text = parts[0] + match[0] + parts[1] + match[1] + ...
     parts = F.split(text, PATTERN, -1)
-    new = F.transform("_found", lambda f: pseudonym(f["m"], f["kind"], key))
+    new = F.transform(found, lambda f: pseudonym(f["m"], f["kind"], key))
     pieces = F.zip_with(parts, F.concat(new, F.array(F.lit(""))), lambda p, m: F.concat(p, m))
-    out = out.withColumn(text_col, F.when(F.col("_found").isNull(), text).otherwise(F.array_join(pieces, "")))
+    out = out.withColumn(text_col, F.when(found.isNull(), text).otherwise(F.array_join(pieces, "")))
     if counts:
-        out = out.withColumns({f"n_{k}": _count(k) for k in KINDS})
-    return out.drop("_found")
+        of_kind = lambda k: F.size(F.filter(found, lambda f: f["kind"] == k))
+        out = out.withColumns({f"n_{k}": F.when(found.isNull(), F.lit(0)).otherwise(of_kind(k)).cast("long") for k in KINDS})
+    return out.drop(name)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,25 @@ def test_permutations_are_one_to_one(spark):
     out = df.select(pii.date(d, "k").alias("d"), pii.ip(a, "k").alias("a"), pii.permute_characters(n, "k", "x").alias("n"))
     r = out.agg(*[F.count_distinct(c).alias(c) for c in out.columns], F.sum(F.length("n")).alias("len")).head()
     assert (r.d, r.a, r.n, r.len) == (2000, 2000, 2000, 8000)
+
+
+def test_slashed_dates_are_one_to_one(spark):
+    from pyspark.sql import functions as F
+
+    days = spark.range(3000).select(F.date_add(F.lit("1998-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    forms = days.select(F.date_format("day", "dd/MM/yyyy").alias("m")).union(days.select(F.date_format("day", "MM/dd/yyyy"))).distinct()
+    out = forms.select("m", pii.date(F.col("m"), "k").alias("d")).collect()
+    assert len({r.d for r in out}) == len(out) > 4700
+    for r in out:  # what only reads as month/day still does
+        assert re.fullmatch(r"\d\d/\d\d/\d{4}", r.d)
+        assert (int(r.m[3:5]) > 12) == (int(r.d[3:5]) > 12)
+
+
+def test_clashing_columns_and_edges(spark):
+    docs = spark.createDataFrame([(1, "born 0150-01-01 and 9999-12-31", "a", 5), (2, "born 03/04/1999", "b", 6), (3, ("plain words " * 20_000) + "a@b.org", "c", 7)], "doc_id long, text string, _found string, n_date long")
+    plain = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    assert pii.pseudonymise(docs, "k").columns == docs.columns
+    assert plain[1].text.endswith("9999-12-31") and [plain[i]._found for i in (1, 2, 3)] == ["a", "b", "c"] and plain[2].n_date == 6
+    assert plain[2].text != "born 03/04/1999" and not plain[3].text.endswith("a@b.org") and plain[3].text.endswith(".org")
+    counted = {r.doc_id: r for r in pii.pseudonymise(docs, "k", counts=True).collect()}
+    assert [counted[i].n_date for i in (1, 2, 3)] == [0, 1, 0] and counted[2]._found == "b"
