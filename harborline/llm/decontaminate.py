@@ -109,7 +109,8 @@ def windows(table_: DataFrame, sizes: list[int], literal: list[int], wanted: np.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_parts(batches, PART_BYTES):
+        for whole in text_parts(batches, PART_BYTES):
+            part = whole.filter(whole.column("doc_id").is_valid())  # before numpy, which has no null long
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
             bare = np.ones(len(ids), bool)
             for doc, position, variant, size, h, at, types, counts, (token, names) in template_windows(part.column("text"), sizes, literal):
