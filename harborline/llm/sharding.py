@@ -8,12 +8,18 @@ rows alone and a lost executor's bucket comes out the same again).  The buckets
 one after the other are the global order; dealing it out in turn gives shards
 whose row counts differ by one at most (law ``rows``), and slots without gaps.
 
-Only bucket counts are summed across buckets: a prefix sum in two levels, over
-blocks of BLOCK buckets and then over the blocks.
+Buckets are counted before texts move, by a scan of their own, so the texts are
+exchanged and sorted once.  Only these counts are summed across buckets: a
+prefix sum in two levels, over blocks of BLOCK buckets and then over the blocks.
+
+Rows that are equal in every column are interchangeable.  Where there are more
+than ALIKE of them, they are dealt over as many buckets as they fill, by their
+place in the scan; docs must therefore be a scan (files, a written table), whose
+partitions come out the same again when a task is repeated.
 
 Defined results: a null text has size 1 and crc32 0; a null id is a record as
-any other; rows that are equal in every column are interchangeable, and lie in
-one bucket; an empty table gives an empty result.  Columns of the input whose
+any other; very long texts are rows as any other; an empty table gives an empty
+result.  Columns of the input whose
 names clash with the result's are not read.
 """
 
@@ -28,17 +34,24 @@ from .common import table, total_bytes
 
 BUCKET_BYTES = 8 << 20
 BLOCK = 1024
+#: So many rows that are equal in every column share a bucket at most.
+ALIKE = 100_000
 #: So many buckets' starting positions (16 bytes each) are broadcast at most; beyond, they are joined by a shuffle.
 BROADCAST_BUCKETS = 200_000
 
 
-def scatter(docs: DataFrame, buckets: int, seed: int) -> DataFrame:
-    """Pass 1: the rows as structs ``_row``, partition by partition a bucket ``_bucket``."""
-    names = docs.columns
+def scattered(docs: DataFrame, buckets: int, seed: int) -> DataFrame:
+    """Every row as a struct ``_row``, its seeded hash ``_mix`` and its bucket ``_bucket``."""
     mixed = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith("map")])
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), mixed.alias("_mix"))
-    rows = rows.withColumn("_bucket", F.pmod(F.shiftrightunsigned("_mix", 20), F.lit(buckets)).cast("int"))
-    return rows.repartitionById(buckets, "_bucket")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), mixed.alias("_mix"))
+    alike = rows.groupBy("_mix").count().where(F.col("count") > ALIKE)
+    alike = alike.select("_mix", F.ceil(F.col("count") / ALIKE).alias("_parts"))
+    if buckets <= BROADCAST_BUCKETS:  # and so alike has few rows, too: each stands for ALIKE
+        alike = F.broadcast(alike)
+    rows = rows.withColumn("_at", F.monotonically_increasing_id()).join(alike, "_mix", "left")
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64("_at"), F.col("_parts"))).otherwise(0)
+    mix = F.when(salt == 0, F.col("_mix")).otherwise(F.xxhash64("_mix", salt))
+    return rows.select("_row", "_mix", F.pmod(F.shiftrightunsigned(mix, 20), F.lit(buckets)).cast("int").alias("_bucket"))
 
 
 def external_shuffle(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, seed: int = 42, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
@@ -46,9 +59,11 @@ def external_shuffle(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, seed: in
     buckets = max(1, math.ceil(total_bytes(docs, text_col) / bucket_bytes))
     if columns is not None:
         docs = docs.select(*columns)
-    packed = scatter(docs, buckets, seed).groupBy("_bucket").agg(F.collect_list(F.struct("_mix", "_row")).alias("_rows"))
+    rows = scattered(docs, buckets, seed)
+    # pass 1: one exchange, partition by partition a bucket; pass 2 needs no other
+    packed = rows.repartitionById(buckets, "_bucket").groupBy("_bucket").agg(F.collect_list(F.struct("_mix", "_row")).alias("_rows"))
     packed = packed.withColumn("_rows", F.shuffle(F.array_sort("_rows"), seed))
-    counts = packed.select("_bucket", F.size("_rows").cast("long").alias("_n")).withColumn("_block", F.expr(f"_bucket div {BLOCK}"))
+    counts = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).withColumn("_block", F.expr(f"_bucket div {BLOCK}"))
     blocks = counts.groupBy("_block").agg(F.sum("_n").alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.select("_block", F.coalesce(before, F.lit(0)).alias("_base"))

@@ -37,3 +37,13 @@ def test_empty_table_and_files(spark, tmp_path):
     sharding.write_shards(frame(spark, 100), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 100 and back.select("_shard").distinct().count() == 8
+
+
+def test_rows_that_are_equal_in_every_column_are_split(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sharding, "ALIKE", 50)
+    spark.createDataFrame([(7, "same text")] * 700 + [(i, f"text {i}") for i in range(300)], "doc_id long, text string").write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    per_bucket = sharding.scattered(docs, 16, 42).groupBy("_bucket").count().collect()
+    assert max(r["count"] for r in per_bucket) < 250
+    rows = sharding.external_shuffle(docs, bucket_bytes=600).collect()
+    assert sorted(r._position for r in rows) == list(range(1000)) and Counter(r.doc_id for r in rows)[7] == 701
