@@ -2,8 +2,8 @@
 
 Every document becomes a 64-bit fingerprint.  Equal fingerprints are collapsed
 first.  The distinct ones are dealt to shards by a vantage-point tree whose
-vantage points are seeded and whose radii come from a bounded sample of
-fingerprints: within a radius goes left, beyond it right, and what lies within
+vantage points are seeded and whose radii come from a sample of fingerprints,
+PER_SHARD of them for every shard that is wanted, MOST_SAMPLED at most: within a radius goes left, beyond it right, and what lies within
 `radius` of the boundary goes to both sides, so that by the triangle inequality
 any two fingerprints that may be linked meet in some shard.  A shard prunes
 branches by the same bound in a tree of its own down to small leaves, where
@@ -36,10 +36,10 @@ from .common import id_and_text, materialise, mix, table, text_bytes, text_parts
 from .components import connected_components
 
 PART_BYTES = 2 << 20
-#: Rows of the sample that the radii of the upper tree come from, at most.
-SAMPLE = 20_000
 #: Fingerprints that a shard is meant to get; leaves of its own tree.
 SHARD, LEAF = 12_000, 256
+#: Sampled fingerprints per shard wanted, and at least and at most: 32 MB, which is 10**10 distinct fingerprints of shards of this size.
+PER_SHARD, LEAST_SAMPLED, MOST_SAMPLED = 400, 20_000, 4_000_000
 
 
 def shingles(raw: bytes, size: int) -> list[bytes]:
@@ -146,15 +146,28 @@ def leaf_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return member, label[member]
 
 
-def blocked_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All links of fingerprints that no vantage point parts, block by block, as stars of each row."""
-    a, b = [], []
-    for i in range(0, len(fps), 1024):
-        for j in range(i, len(fps), 1024):
-            x, y = np.nonzero(distance(fps[i : i + 1024, None], fps[None, j : j + 1024]) <= radius)
-            keep = x + i < y + j
-            a.append(y[keep] + j)
-            b.append(x[keep] + i)
+def blocked_links(fps: np.ndarray, radius: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Links whose components are those of fingerprints that no vantage point parts.
+
+    Block by block the smaller label wins, and a link joins it to the label it
+    replaces: a few links per fingerprint, however many are near each other.
+    """
+    n = len(fps)
+    label, a, b = np.arange(n), [], []
+
+    def take(at: slice, new: np.ndarray) -> bool:
+        lower = new < label[at]
+        a.append(label[at][lower])
+        b.append(new[lower])
+        label[at] = np.where(lower, new, label[at])
+        return bool(lower.any())
+
+    for i in range(0, n, block):
+        for j in range(i, n, block):
+            x, y = slice(i, i + block), slice(j, j + block)
+            near = distance(fps[x, None], fps[None, y]) <= radius
+            while take(y, np.where(near, label[x][:, None], n).min(axis=0)) | take(x, np.where(near, label[y][None, :], n).min(axis=1)):
+                pass
     return np.concatenate(a), np.concatenate(b)
 
 
@@ -207,7 +220,10 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def fingerprint_roots(distinct: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
     """(fp, root) for fingerprints that have a neighbour within radius; distinct has one column fp."""
     total = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).toPandas()["fp"].to_numpy().astype(np.int64).view(np.uint64)
+    wanted = min(max(LEAST_SAMPLED, PER_SHARD * total // shard), MOST_SAMPLED)
+    share = min(1.0, wanted / max(total, 1))
+    taken = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = taken.toPandas()["fp"].to_numpy().astype(np.int64).view(np.uint64)
     tree = VantageTree(sample, total, radius, shard)
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -58,3 +58,12 @@ def test_empty_and_chain(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     assert {(r.node, r.root) for r in connected_components(chain).collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
+
+
+def test_dense_ball_gives_few_links():
+    ball = np.array([(1 << a) | (1 << b) for a in range(64) for b in range(a)], np.uint64)
+    a, b = simhash.blocked_links(ball, 2, block=256)
+    assert len(a) < 5 * len(ball)
+    assert set(simhash.spanning(len(ball), a, b).tolist()) == {0}
+    two = np.concatenate([ball, ~ball])
+    assert len(set(simhash.spanning(len(two), *simhash.near_links(two, 2)).tolist())) == 2
