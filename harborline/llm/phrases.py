@@ -4,25 +4,28 @@ A word goes if a run of WINDOW words that covers it also starts earlier, in a
 document of smaller id or further up in the same one.
 
 1.  Phrases.  Of every window the phrase (PHRASE words) with the smallest hash
-    is chosen: wherever a window recurs, the same phrase is chosen again.  A
-    count over all documents tells which phrases recur.
-2.  Automata.  Documents are dealt out by id, and each part of a few MB is a
-    shard: the recurring phrases of its documents are compiled into one
-    Aho-Corasick automaton over words (a word of the part is one character),
-    through which all documents of the part are streamed.  Every window around
-    an occurrence is a candidate.
-3.  Resolution.  Candidate windows meet by the hashes of their chosen phrase and
-    of all their words, 128 bits together; all but the earliest are removed.
-
-A phrase or window that recurs inside a part is settled there, and one witness
-goes on: a passage in a third of all documents is a few rows per part, not one
-per occurrence.  Exact copies of a text take no part in the search: all but
-the first lose every word if they are a window long.  Texts are shuffled once,
-and that exchange serves the three passes over them.
+    is chosen: wherever a window recurs, the same phrase is chosen again.  Every
+    part of the corpus (SHARD_BYTES of documents) names its distinct chosen
+    phrases once; a count over all parts confirms those that recur.
+2.  Automata.  The confirmed phrases that a part named are its shard: they are
+    compiled into one Aho-Corasick automaton over words (a word of the shard is
+    one character), and all documents of the part are streamed through it.  No
+    other phrase can occur in them as a chosen one, so every document meets all
+    phrases that it can match, and the work stays in proportion to the text.
+    What the automaton finds are the only places that are looked at: windows
+    whose chosen phrase begins at an occurrence are candidates.
+3.  Resolution.  Candidate windows meet by two independent 64-bit hashes of all
+    their words; all but the earliest are removed.
+
+A window that recurs inside a part is settled there, and one witness goes on: a
+passage in a third of all documents is a few rows per part, not one per
+occurrence.  Exact copies of a text take no part in the search: all but the
+first lose every word if they are a window long.  Texts are shuffled once, and
+that exchange serves the three passes over them.
 
 Defined results: a null or empty text has no words, and the digest of nothing;
-texts shorter than a window stay whole; rows without an id lose nothing and
-count for nothing; rows that repeat id and text get the same result each; an
+texts shorter than a window stay whole; very long texts are read to their end, in
+one part; rows without an id lose nothing and count for nothing; rows that repeat id and text get the same result each; an
 empty table gives no rows; other columns are not read.
 """
 
@@ -38,17 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, id_and_text, mix, repeated, rolling, sliding_argmin, table, text_bytes, text_parts, total_bytes, word_hashes
+from .common import Words, id_and_text, mix, rolling, sliding_argmin, table, text_bytes, text_parts, total_bytes, word_hashes
 
 WINDOW, PHRASE = 20, 6
 SHARD_BYTES, PART_BYTES = 12 << 20, 3 << 20
 
 
-def dealt_by_id(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) hash-partitioned by id into partitions of SHARD_BYTES."""
-    return docs.repartition(max(1, math.ceil(total_bytes(docs) / SHARD_BYTES)), "doc_id")
-
-
 def later_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, copy=true) of documents whose whole text a smaller id has too."""
     keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("sha"))
@@ -56,169 +54,200 @@ def later_copies(docs: DataFrame) -> DataFrame:
     return keyed.join(first, "sha").where("doc_id > first_id").select("doc_id").distinct().withColumn("copy", F.lit(True))
 
 
-def attach(docs: DataFrame, other: DataFrame) -> DataFrame:
-    """Left join by id that builds on the small side, so texts need no sort."""
-    return docs.join(other.hint("shuffle_hash"), "doc_id", "left")
-
-
-def usable(part: pa.RecordBatch) -> pa.RecordBatch:
-    """Rows with an id that are no later copies."""
-    keep = part.column("doc_id").is_valid()
-    if "copy" in part.schema.names:
-        keep = pa.compute.and_(keep, part.column("copy").is_null())
-    return part.filter(keep)
-
-
-def witness_rows(keys: np.ndarray, known: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, known): rows already settled get a key of their own that meets no other."""
-    return np.where(known, mix(salt ^ np.uint64(0xA5A5A5A5A5A5A5A5)), keys), known
-
-
-def chosen_phrases(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, position, hash) of the chosen phrases of a batch of texts."""
+def hashed(texts: pa.Array) -> tuple[Words, np.ndarray, pa.Array, np.ndarray]:
+    """(words, their numbers, the distinct ones, the hash of the phrase at each word)."""
     w = Words(*text_bytes(texts))
     which, distinct = w.encoded()
     values = word_hashes(distinct)[which] if len(which) else np.zeros(0, np.uint64)
-    h = mix(rolling(values, PHRASE))
-    low = sliding_argmin(h, WINDOW - PHRASE + 1)
-    inside = w.doc[: len(low)] == w.doc[WINDOW - 1 :] if len(low) else np.zeros(0, bool)
-    at = np.unique(low[inside])
-    return w.doc[at], at - w.first[w.doc[at]], h[at]
-
-
-def find_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in text_parts(batches, PART_BYTES):
-        part = usable(whole)
-        row, position, h = chosen_phrases(part.column("text"))
-        ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
-        known = repeated(h)
-        order = np.argsort(h, kind="stable")
-        witness = order[np.concatenate([[True], h[order[1:]] != h[order[:-1]]])] if len(h) else order
-        witness = witness[known[witness]]
-        keys, flags = witness_rows(h, known, mix(ids.astype(np.uint64)) ^ position.astype(np.uint64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([keys, h[witness]]).view(np.int64)), pa.array(np.concatenate([ids, np.full(len(witness), -1)]), mask=np.concatenate([np.zeros(len(ids), bool), np.ones(len(witness), bool)])), pa.array(np.concatenate([position, np.zeros(len(witness), np.int64)]).astype(np.int32)), pa.array(np.concatenate([flags, np.zeros(len(witness), bool)]))],
-            ["key", "doc_id", "position", "known"],
-        )
-
-
-def recurring_positions(docs: DataFrame) -> DataFrame:
-    """(doc_id, positions) of the chosen phrases that recur anywhere."""
-    found = docs.mapInArrow(find_phrases, "key long, doc_id long, position int, known boolean")
+    return w, which, distinct, mix(rolling(values, PHRASE))
+
+
+def chosen(w: Words, phrase: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, place of its chosen phrase) of every window inside a text."""
+    low = sliding_argmin(phrase, WINDOW - PHRASE + 1)
+    starts = np.flatnonzero(w.doc[: len(low)] == w.doc[WINDOW - 1 :]) if len(low) else np.zeros(0, np.int64)
+    return starts, low[starts]
+
+
+def slices(part: pa.Table, side: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The documents of a part that take part in the search, a few MB at a time."""
+    copies = pa.array([i for own in side["copies"].to_pylist() for i in own or ()], pa.int64())
+    part = part.filter(pa.compute.invert(pa.compute.is_in(part["doc_id"], copies)))
+    yield from text_parts(iter(part.select(["doc_id", "text"]).to_batches()), PART_BYTES)
+
+
+def find_phrases(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
+    """The distinct chosen phrases of a part, and whether they are chosen twice in it."""
+    found: dict[int, tuple[bytes, int]] = {}
+    for batch in slices(part, side):
+        w, _, _, phrase = hashed(batch.column("text"))
+        at = np.unique(chosen(w, phrase)[1])
+        keys, first, n = np.unique(phrase[at], return_index=True, return_counts=True)
+        raw, at = w.data.tobytes(), at[first]
+        for k, a, b, m in zip(keys.view(np.int64).tolist(), w.start[at].tolist(), w.end[at + PHRASE - 1].tolist(), n.tolist(), strict=True):
+            old = found.get(k)
+            found[k] = (b" ".join(raw[a:b].split()), m) if old is None else (old[0], old[1] + m)
+    texts, n = zip(*found.values(), strict=True) if found else ((), ())
+    own = pa.array([key[0].as_py()] * len(found), pa.int32())
+    return pa.table({"key": pa.array(list(found), pa.int64()), "part": own, "phrase": pa.array(texts, pa.binary()), "twice": pa.array([m > 1 for m in n], pa.bool_())})
+
+
+def confirmed_phrases(dealt: DataFrame, copies: DataFrame) -> DataFrame:
+    """(part, phrases): for every part the phrases it named that recur anywhere."""
+    found = dealt.groupBy("part").cogroup(copies.groupBy("part")).applyInArrow(find_phrases, "key long, part int, phrase binary, twice boolean")
     n = F.count("*").over(Window.partitionBy("key"))
-    found = found.withColumn("n", n).where("(known OR n > 1) AND doc_id IS NOT NULL")
-    return found.groupBy("doc_id").agg(F.collect_list("position").alias("positions"))
+    return found.withColumn("n", n).where("twice OR n > 1").groupBy("part").agg(F.collect_list("phrase").alias("phrases"))
 
 
-def as_characters(which: np.ndarray) -> str:
-    """Word numbers as one character each, past the surrogates."""
-    code = which + 1
+def as_characters(code: np.ndarray) -> str:
+    """Numbers from 0 as one character each, past the surrogates."""
+    code = code + 1
     code = code + 2048 * (code >= 0xD800)
     return code.astype("<u4").tobytes().decode("utf-32-le")
 
 
-def candidate_windows(texts: pa.Array, positions: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, hash of the chosen phrase, hash) of the windows around occurrences of the shard's phrases."""
-    import ahocorasick
+class Automaton:
+    """An Aho-Corasick automaton over the words of some phrases; other words are one character that fits nowhere."""
 
-    w = Words(*text_bytes(texts))
-    which, distinct = w.encoded()
-    signs = as_characters(which)
-    automaton = ahocorasick.Automaton()
-    first = w.first.tolist()
-    for row, own in enumerate(positions):
-        for p in own if own is not None else ():
-            phrase = signs[first[row] + p : first[row] + p + PHRASE]
-            automaton.add_word(phrase, 1)
-    hits = []
-    if len(automaton):
-        automaton.make_automaton()
-        for row in range(len(texts)):
-            if first[row + 1] - first[row] >= WINDOW:
-                base = first[row] - PHRASE + 1
-                hits += [base + end for end, _ in automaton.iter(signs[first[row] : first[row + 1]])]
-    at = np.array(hits, np.int64)
-    if not len(at):
-        return at, at, at.astype(np.uint64), at.astype(np.uint64)
-    marks = np.zeros(len(which) + 1, np.int32)
-    np.add.at(marks, np.maximum(at - (WINDOW - PHRASE), w.first[w.doc[at]]), 1)
-    np.add.at(marks, at + 1, -1)
-    starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-    starts = starts[starts + WINDOW <= w.first[w.doc[starts] + 1]]
-    values = word_hashes(distinct)[which]
-    phrase = mix(rolling(values, PHRASE))
-    chosen = phrase[sliding_argmin(phrase, WINDOW - PHRASE + 1)[starts]]
-    return w.doc[starts], starts - w.first[w.doc[starts]], chosen, mix(rolling(values, WINDOW)[starts])
-
-
-def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, phrases: list[bytes]):
+        import ahocorasick
+
+        self.machine, self.numbers = ahocorasick.Automaton(), {}
+        for phrase in phrases:
+            codes = [self.numbers.setdefault(x, len(self.numbers) + 1) for x in phrase.split(b" ")]
+            self.machine.add_word(as_characters(np.array(codes)), 1)
+        self.machine.make_automaton()
+
+    def occurrences(self, w: Words, which: np.ndarray, distinct: pa.Array) -> np.ndarray:
+        """The words at which a phrase begins, marked, for all texts of a batch."""
+        number = np.array([self.numbers.get(x, 0) for x in distinct.to_pylist()], np.int64)
+        marks = np.zeros(len(which), bool)
+        if len(self.machine) and len(which):
+            signs, first = as_characters(number[which]), w.first.tolist()
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                if b - a >= WINDOW:
+                    ends = [end for end, _ in self.machine.iter(signs, a, b)]
+                    marks[np.array(ends, np.int64) - PHRASE + 1] = True
+        return marks
+
+
+RUNS = "key long, part int, doc_id long, start int, length int, hashes array<long>, checks array<long>"
+
+
+def find_windows(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
     """Runs of windows: those still open with their hashes, by the phrase that they share; settled ones by length."""
-    for whole in text_parts(batches, PART_BYTES):
-        part = usable(whole)
-        part = part.filter(part.column("positions").is_valid())
-        row, start, key, h = candidate_windows(part.column("text"), part.column("positions").to_pylist())
-        ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
-        # all but the earliest of the windows that are equal inside the shard are settled
-        order = np.lexsort((start, ids, key, h))
-        later = np.zeros(len(h), bool)
-        a, b = order[1:], order[:-1]
-        later[a] = (h[a] == h[b]) & (key[a] == key[b])
-        # rows that repeat an id hold the same windows, none of them earlier
-        twin = later[a] & (ids[a] == ids[b]) & (start[a] == start[b])
-        for i in np.flatnonzero(twin):
-            later[a[i]] = later[b[i]]
-        new = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (later[1:] != later[:-1]) | (~later[1:] & (key[1:] != key[:-1]))]) if len(h) else later
-        cut = np.flatnonzero(new)
-        length = np.diff(np.append(cut, len(h)))
-        done = later[cut]
-        keys = np.where(done, mix(mix(ids[cut].astype(np.uint64)) ^ start[cut].astype(np.uint64)), key[cut])
-        kept = h[~later]
-        ends = np.cumsum(np.where(done, 0, length))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(kept.view(np.int64)), mask=pa.array(done)) if len(cut) else pa.array([], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[cut]), pa.array(start[cut].astype(np.int32)), pa.array(length.astype(np.int32)), lists], ["key", "doc_id", "start", "length", "hashes"])
-
-
-def removed_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, runs): runs of windows that also start earlier."""
-    found = attach(docs, recurring_positions(docs)).mapInArrow(find_windows, "key long, doc_id long, start int, length int, hashes array<long>")
+    automaton = Automaton([p for own in side["phrases"].to_pylist() for p in own or ()])
+    out = [open_runs(batch, automaton) for batch in slices(part, side)]
+    keys, ids, starts, length, offsets, hashes, checks, done = (np.concatenate(x) if out else np.zeros(0, np.int64) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 8
+    ends = np.concatenate([[0], np.cumsum(offsets)]).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.view(np.int64)), mask=pa.array(done.astype(bool))) for x in (hashes, checks)]
+    own = pa.array([key[0].as_py()] * len(keys), pa.int32())
+    return pa.table({"key": pa.array(keys.view(np.int64)), "part": own, "doc_id": pa.array(ids), "start": pa.array(starts.astype(np.int32)), "length": pa.array(length.astype(np.int32)), "hashes": lists[0], "checks": lists[1]})
+
+
+def open_runs(batch: pa.RecordBatch, automaton: Automaton) -> tuple[np.ndarray, ...]:
+    """(key, doc_id, start, length, open windows, their hashes, their second hashes, is settled) of a batch's runs of candidates."""
+    w, which, distinct, phrase = hashed(batch.column("text"))
+    starts, place = chosen(w, phrase)
+    hit = automaton.occurrences(w, which, distinct)[place]
+    starts, place = starts[hit], place[hit]
+    key, row = phrase[place], w.doc[starts]
+    twice = [mix(rolling(word_hashes(distinct, seed)[which], WINDOW)[starts]) if len(starts) else key for seed in (0, 1)]
+    h, check = twice
+    ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
+    start = starts - w.first[row]
+    # all but the earliest of the windows that are equal inside the batch are settled
+    order = np.lexsort((start, ids, check, h))
+    later = np.zeros(len(h), bool)
+    a, b = order[1:], order[:-1]
+    later[a] = (h[a] == h[b]) & (check[a] == check[b])
+    # rows that repeat an id hold the same windows, none of them earlier
+    twin = later[a] & (ids[a] == ids[b]) & (start[a] == start[b])
+    for i in np.flatnonzero(twin):
+        later[a[i]] = later[b[i]]
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (later[1:] != later[:-1]) | (~later[1:] & (key[1:] != key[:-1]))]) if len(h) else later
+    cut = np.flatnonzero(new)
+    length = np.diff(np.append(cut, len(h)))
+    done = later[cut]
+    keys = np.where(done, mix(mix(ids[cut].astype(np.uint64)) ^ start[cut].astype(np.uint64)), key[cut])
+    return keys, ids[cut], start[cut], length, np.where(done, 0, length), h[~later], check[~later], done
+
+
+def removed_runs(dealt: DataFrame, copies: DataFrame) -> DataFrame:
+    """(part, runs): runs of windows that also start earlier."""
+    phrases = confirmed_phrases(dealt, copies)
+    side = copies.withColumn("phrases", F.lit(None).cast("array<binary>")).unionByName(phrases.withColumn("copies", F.lit(None).cast("array<long>")))
+    found = dealt.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(find_windows, RUNS)
     # equal windows share their phrase, so partitions by phrase hold all that the window below compares
     found = found.repartition("key")
-    each = found.select("key", "doc_id", "start", "length", F.posexplode_outer("hashes").alias("at", "hash"))
+    each = found.select("key", "part", "doc_id", "start", "length", F.posexplode_outer(F.arrays_zip("hashes", "checks")).alias("at", "hash"))
     each = each.withColumn("start", F.col("start") + F.coalesce("at", F.lit(0))).withColumn("length", F.when(F.col("at").isNull(), F.col("length")).otherwise(1))
     place = F.struct("doc_id", "start")
     each = each.withColumn("earliest", F.min(place).over(Window.partitionBy("key", "hash")))
-    out = each.where(F.col("hash").isNull() | (place > F.col("earliest")))
-    return out.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("runs"))
-
-
-def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = each.where(F.col("at").isNull() | (place > F.col("earliest")))
+    return out.groupBy("part").agg(F.collect_list(F.struct("doc_id", "start", "length")).alias("runs"))
+
+
+KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+
+
+def _kept(words: list[bytes], gone: np.ndarray | None) -> tuple[int, int, str, str]:
+    kept = words if gone is None else list(compress(words, (~gone).tolist()))
+    joined = b" ".join(kept)
+    return len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode()
+
+
+def _table(ids: pa.Array, out: list[tuple]) -> pa.Table:
+    columns = list(zip(*out, strict=True)) if out else [()] * 4
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    names = [x.split()[0] for x in KEPT.split(", ")]
+    return pa.table([ids, *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
+
+
+def cut_out(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
+    """The documents of a part without their removed runs."""
+    copies = {i for own in side["copies"].to_pylist() for i in own or ()}
+    runs = side["runs"].combine_chunks().flatten() if part.num_rows else None
+    by_doc: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    if runs is not None and len(runs):
+        ids, starts, lengths = (runs.field(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "start", "length"))
+        order = np.argsort(ids, kind="stable")
+        cut = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
+        for i, own in zip(ids[order][cut].tolist(), np.split(order, cut[1:]), strict=True):
+            by_doc[i] = starts[own], lengths[own]
+    out = []
+    for i, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
+        words, gone = (text or "").encode().split(), None
+        if i in copies and len(words) >= WINDOW:
+            gone = np.ones(len(words), bool)
+        elif i not in copies and i in by_doc:
+            marks = np.zeros(len(words) + 1, np.int32)
+            at, length = by_doc[i]
+            np.add.at(marks, at, 1)
+            np.add.at(marks, at + length + WINDOW - 1, -1)
+            gone = np.cumsum(marks[:-1]) > 0
+        out.append(_kept(words, gone))
+    return _table(part["doc_id"], out)
+
+
+def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows without an id, whole."""
     for batch in batches:
-        out = []
-        runs, copies = batch.column("runs"), batch.column("copy")
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            words = (text or "").encode().split()
-            n, kept = len(words), words
-            if copies[i].is_valid:
-                kept = [] if n >= WINDOW else words
-            elif runs[i].is_valid:
-                marks = np.zeros(n + 1, np.int32)
-                at = runs[i].values.field("start").to_numpy()
-                np.add.at(marks, at, 1)
-                np.add.at(marks, at + runs[i].values.field("length").to_numpy() + WINDOW - 1, -1)
-                kept = list(compress(words, (np.cumsum(marks[:-1]) == 0).tolist()))
-            joined = b" ".join(kept)
-            out.append((n, n - len(kept), hashlib.sha256(joined).hexdigest(), joined.decode()))
-        n, removed, sha, kept = zip(*out, strict=True) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+        out = [_kept((text or "").encode().split(), None) for text in batch.column("text").to_pylist()]
+        yield from _table(batch.column("doc_id"), out).to_batches()
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept): documents without their repeated passages."""
     docs = id_and_text(docs, id_col, text_col)
-    copies = later_copies(docs)
-    dealt = attach(dealt_by_id(docs), copies)
-    out = attach(dealt, removed_runs(dealt))
-    return out.mapInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    parts = max(1, math.ceil(total_bytes(docs) / SHARD_BYTES))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part")
+    dealt = docs.where("doc_id IS NOT NULL").select("doc_id", "text", part).repartition(parts, "part")
+    copies = later_copies(docs).groupBy(part).agg(F.collect_list("doc_id").alias("copies"))
+    runs = removed_runs(dealt, copies)
+    side = copies.withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)).unionByName(runs.withColumn("copies", F.lit(None).cast("array<long>")))
+    out = dealt.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(cut_out, KEPT)
+    return out.unionByName(docs.where("doc_id IS NULL").mapInArrow(untouched, KEPT))
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

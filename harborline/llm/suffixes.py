@@ -41,11 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, materialise, mix, repeated, rolling, sliding_argmin, table, text_bytes, text_parts
-from .phrases import attach, dealt_by_id, usable, witness_rows
+from .common import id_and_text, materialise, mix, repeated, rolling, sliding_argmin, table, text_bytes, text_parts, total_bytes
 
 WINDOW, GRAM = 400, 48
-PART_BYTES = 1 << 20
+SHARD_BYTES, PART_BYTES = 12 << 20, 1 << 20
 #: Bytes of context that a bucket gets.
 BUCKET_BYTES = 4 << 20
 #: Leading bytes that the ranges go by; ranges at most, for each of which the driver sees 100 sampled keys of some 80 bytes.
@@ -56,6 +55,29 @@ SMALL = 48
 SIGNS = mix(np.arange(1, 257))
 
 
+def dealt_by_id(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) hash-partitioned by id into partitions of SHARD_BYTES."""
+    return docs.repartition(max(1, math.ceil(total_bytes(docs) / SHARD_BYTES)), "doc_id")
+
+
+def attach(docs: DataFrame, other: DataFrame) -> DataFrame:
+    """Left join by id that builds on the small side, so texts need no sort."""
+    return docs.join(other.hint("shuffle_hash"), "doc_id", "left")
+
+
+def usable(part: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows with an id that are no later copies."""
+    keep = part.column("doc_id").is_valid()
+    if "copy" in part.schema.names:
+        keep = pa.compute.and_(keep, part.column("copy").is_null())
+    return part.filter(keep)
+
+
+def witness_rows(keys: np.ndarray, known: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, known): rows already settled get a key of their own that meets no other."""
+    return np.where(known, mix(salt ^ np.uint64(0xA5A5A5A5A5A5A5A5)), keys), known
+
+
 def twins(docs: DataFrame) -> DataFrame:
     """(doc_id, twin, copy): documents whose whole text another row has; copy is null for the smallest id."""
     keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("sha"))

@@ -55,3 +55,14 @@ def test_small_tables(spark):
     t = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(1, t, "x"), (1, t, "x"), (None, t, "y"), (2, t + " z", "y")], "doc_id long, text string, starts string")
     assert sorted((r.doc_id or 0, r.n_removed) for r in phrases.remove_repeats(docs).collect()) == [(0, 0), (1, 0), (1, 0), (2, 40)]
+
+
+def test_the_automata_find_the_windows(spark, monkeypatch):
+    rnd = random.Random(5)
+    text = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    passage = text(40)
+    docs = spark.createDataFrame([(i, f"{text(30)} {passage} {text(i)}") for i in range(6)], "doc_id long, text string")
+    removed = lambda: sum(r.n_removed for r in phrases.remove_repeats(docs).collect())
+    assert removed() == 200
+    monkeypatch.setattr(phrases.Automaton, "occurrences", lambda self, w, which, distinct: __import__("numpy").zeros(len(which), bool))
+    assert removed() == 0

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from harborline.llm import phrases, suffixes
+from harborline.llm import suffixes
 
 
 def brute(docs, n=400):
@@ -25,7 +25,7 @@ def brute(docs, n=400):
 
 @pytest.mark.parametrize("bucket", [4 << 20, 6_000])
 def test_planted_passages(spark, monkeypatch, bucket):
-    monkeypatch.setattr(phrases, "SHARD_BYTES", 60_000)
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 60_000)
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", bucket)
     rnd = random.Random(6)
     text = lambda n: "".join(rnd.choice("abcdé fgh\n") for _ in range(n))
