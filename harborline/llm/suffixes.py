@@ -7,26 +7,24 @@ A byte goes if some WINDOW-byte string that covers it starts anywhere else too.
     whose gram occurs once are dropped, and with them their windows.
 2.  Suffixes.  What is sorted is the suffix at each remaining anchor, as far as
     its windows reach, with the bytes before it as its reversed prefix.  Spark's
-    sampled splitters range-partition the suffixes by their LEAD leading bytes,
-    into MOST_RANGES ranges at most, so that the sample at the driver is bounded.
-    A range is sorted by Spark and read in buckets of BUCKET_BYTES, however large
+    sampled splitters range-partition the suffixes into MOST_RANGES ranges at
+    most, so that the sample at the driver is bounded.  A range is sorted by Spark and read in buckets of BUCKET_BYTES, however large
     it is; a bucket sorts its suffixes and its prefixes by multikey quicksort and
     takes the common lengths of neighbours.  A window at offset o before its
     anchor has an equal if another anchor shares W - o bytes of suffix and o
     bytes of prefix: classes of both orders, met.
-3.  Boundaries.  What shares the leading bytes of a bucket's first or last
-    suffix may have equals in the next bucket.  Its windows without an equal, and
-    one witness of those with, are dealt anew by their prefixes, where classes
-    are small that were large; what touches an edge there as well is compared
-    window by window over a hash.
+3.  Boundaries.  A class that touches the edge of a bucket may go on in the
+    next.  Its windows without an equal, and one witness of those with, are dealt
+    anew by their prefixes, where classes are small that were large; what touches
+    an edge there as well is compared window by window over a hash.
 
 Equal contexts inside one scan part are settled there and send one witness,
 and buckets are bounded whatever a range holds: no passage is too frequent for
 a task.
 
 Defined results: null and empty texts have no bytes; texts shorter than WINDOW
-stay whole; very long texts are cut into no parts; a text that another row holds too goes as a whole; rows without an
-id lose nothing and count for nothing; each row that repeats an id counts as a
+stay whole; very long texts are read to their end; a text that another row holds
+too goes as a whole; rows without an id lose nothing and count for nothing; each row that repeats an id counts as a
 text of its own; an empty table gives no rows; other columns are not read.
 """
 
@@ -47,8 +45,8 @@ WINDOW, GRAM = 400, 48
 SHARD_BYTES, PART_BYTES = 12 << 20, 1 << 20
 #: Bytes of context that a bucket gets.
 BUCKET_BYTES = 4 << 20
-#: Leading bytes that the ranges go by; ranges at most, for each of which the driver sees 100 sampled keys of some 80 bytes.
-LEAD, MOST_RANGES = 24, 2048
+#: Ranges at most, for each of which the driver sees 100 sampled keys of WINDOW bytes or less: 80 MB.
+MOST_RANGES = 2048
 #: Sets of strings up to this size are sorted whole.
 SMALL = 48
 
@@ -197,7 +195,7 @@ def neighbours(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def edge_depth(order: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """How many leading bytes each string shares with the first or the last in sorted order."""
+    """How many first bytes each string shares with the first or the last in sorted order."""
     whole = np.array([1 << 30], np.int64)
     first = np.minimum.accumulate(np.concatenate([whole, common]))
     last = np.minimum.accumulate(np.concatenate([whole, common[::-1]]))[::-1]
@@ -221,7 +219,7 @@ def in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The map over ranges that are sorted by the leading bytes of suffixes (or of prefixes)."""
+    """The map over sorted ranges of suffixes (or of prefixes)."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in in_buckets(batches):
@@ -256,7 +254,7 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
             total = np.add.reduceat(weight[active][s], cut)
             dup = np.zeros(len(active), bool)
             dup[s] = np.repeat(total > 1, np.diff(np.append(cut, len(s))))
-            at_edge = depth[active] >= min(WINDOW - o if by_suffix else o, LEAD)
+            at_edge = depth[active] >= (WINDOW - o if by_suffix else o)
             witness = np.zeros(len(active), bool)
             witness[s[cut]] = True
             hits.append((active[dup], o))
@@ -286,11 +284,10 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
 
 
 def ranges(contexts: DataFrame, side: str) -> DataFrame:
-    """contexts by the leading bytes of one side; ties, which may be many, by what follows and by id."""
+    """contexts in order of one side; ties, which may be many, by id."""
     size = contexts.select(F.sum(F.length("prefix") + F.length("suffix"))).head()[0] or 0
     n = min(max(1, math.ceil(size / BUCKET_BYTES)), MOST_RANGES)
-    lead, rest = F.substring(side, 1, LEAD), F.xxhash64(side)
-    return contexts.repartitionByRange(n, lead, rest, "doc_id", "position").sortWithinPartitions(lead, rest)
+    return contexts.repartitionByRange(n, side, "doc_id", "position").sortWithinPartitions(side)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
