@@ -228,7 +228,7 @@ def sanctions_last_seen(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SALES = """sl0 AS (SELECT p_type AS commodity, c_nationkey AS country, CAST(date_trunc('week', l_shipdate) AS DATE) + 3 AS week_ending, l_quantity AS q, l_returnflag AS f
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey WHERE p_type IN ('BRASS', 'COPPER', 'STEEL')),
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey WHERE p_type IN ('STANDARD', 'ECONOMY', 'PROMO')),
 sl AS (SELECT commodity, country, week_ending, CAST(extract(year FROM week_ending) AS INT) - CASE WHEN extract(month FROM week_ending) >= 9 THEN 0 ELSE 1 END AS season, sum(q) AS weekly, sum(CASE WHEN f = 'N' THEN q ELSE 0 END) AS open FROM sl0 GROUP BY 1, 2, 3, 4),
 wt AS (SELECT *, CAST((week_ending - make_date(season, 9, 1)) // 7 + 1 AS INT) AS my_week FROM (SELECT commodity, season, week_ending, sum(weekly) AS weekly_mt, sum(open) AS outstanding_mt, count(*) AS n_destinations FROM sl GROUP BY 1, 2, 3)),
 cu AS (SELECT *, sum(weekly_mt) OVER w AS shipped_mt, sum(weekly_mt) OVER w + outstanding_mt AS commitments_mt, avg(weekly_mt) OVER (PARTITION BY commodity, season ORDER BY week_ending ROWS 3 PRECEDING) AS weekly_4wk FROM wt WINDOW w AS (PARTITION BY commodity, season ORDER BY week_ending)),
@@ -238,7 +238,7 @@ fi AS (SELECT commodity, season, arg_max(shipped_mt, my_week) AS final_mt FROM c
 def sales(spark: SparkSession, sf: str) -> DataFrame:
     """Weekly export sales by commodity, season and country; seasons begin in September."""
     t = lambda n: v.table(spark, sf, n)
-    lines = t("lineitem").join(t("part").where(F.col("p_type").isin("BRASS", "COPPER", "STEEL")).select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = t("lineitem").join(t("part").where(F.col("p_type").isin("STANDARD", "ECONOMY", "PROMO")).select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     lines = lines.join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     week = F.date_add(F.trunc("l_shipdate", "week"), 3)
     season = F.year("week_ending") - F.when(F.month("week_ending") >= 9, 0).otherwise(1)

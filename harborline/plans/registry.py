@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import explore, ingest, models, monitoring, panels, streams, vessels, warnings
+from . import disruption, explore, ingest, models, monitoring, panels, seasons, streams, vessels, warnings
 
-MODULES = (vessels, panels, monitoring, explore, ingest, streams, models, warnings)
+MODULES = (vessels, panels, monitoring, explore, ingest, streams, models, warnings, disruption, seasons)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -182,3 +182,22 @@ def with_views(body: str, *views: str) -> str:
     return "WITH " + ",\n".join(v.strip() for v in views) + body
 
 
+def catalogue():  # noqa: ANN201
+    """(queries, SQL, decorator): an empty catalogue of a module and the decorator that fills it."""
+    queries, sql_of = {}, {}
+
+    def query(name: str, sql: str | None = None):  # noqa: ANN202
+        def add(f):  # noqa: ANN001, ANN202
+            queries[name] = f
+            if sql is not None:
+                sql_of[name] = sql
+            return f
+
+        return add
+
+    return queries, sql_of, query
+
+
+def as_cte(name: str, sql: str, start: str) -> str:
+    """A query's SQL, from where its own SELECT starts, as a named subquery."""
+    return f"{name} AS ({sql[sql.index(start):]})"
