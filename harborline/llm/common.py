@@ -131,12 +131,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(distinct: pa.Array, seed: int = 0) -> np.ndarray:
+def word_hashes(distinct: pa.Array) -> np.ndarray:
     """XXH64 of each distinct word, unsigned."""
     import xxhash
 
     f = xxhash.xxh64_intdigest
-    return np.fromiter((f(w, seed) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    return np.fromiter(map(f, distinct.to_pylist()), np.uint64, len(distinct))
 
 
 def rolling(values: np.ndarray, n: int) -> np.ndarray:

@@ -14,8 +14,8 @@ document of smaller id or further up in the same one.
     phrases that it can match, and the work stays in proportion to the text.
     What the automaton finds are the only places that are looked at: windows
     whose chosen phrase begins at an occurrence are candidates.
-3.  Resolution.  Candidate windows meet by two independent 64-bit hashes of all
-    their words; all but the earliest are removed.
+3.  Resolution.  Candidate windows meet by two 64-bit hashes of all their words,
+    polynomials over different values of a word; all but the earliest are removed.
 
 A window that recurs inside a part is settled there, and one witness goes on: a
 passage in a third of all documents is a few rows per part, not one per
@@ -54,12 +54,11 @@ def later_copies(docs: DataFrame) -> DataFrame:
     return keyed.join(first, "sha").where("doc_id > first_id").select("doc_id").distinct().withColumn("copy", F.lit(True))
 
 
-def hashed(texts: pa.Array) -> tuple[Words, np.ndarray, pa.Array, np.ndarray]:
-    """(words, their numbers, the distinct ones, the hash of the phrase at each word)."""
+def hashed(texts: pa.Array) -> tuple[Words, np.ndarray, list[bytes], np.ndarray]:
+    """(words, their numbers, the distinct ones, the hash of each word)."""
     w = Words(*text_bytes(texts))
     which, distinct = w.encoded()
-    values = word_hashes(distinct)[which] if len(which) else np.zeros(0, np.uint64)
-    return w, which, distinct, mix(rolling(values, PHRASE))
+    return w, which, distinct.to_pylist(), word_hashes(distinct)[which] if len(which) else np.zeros(0, np.uint64)
 
 
 def chosen(w: Words, phrase: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +79,8 @@ def find_phrases(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
     """The distinct chosen phrases of a part, and whether they are chosen twice in it."""
     found: dict[int, tuple[bytes, int]] = {}
     for batch in slices(part, side):
-        w, _, _, phrase = hashed(batch.column("text"))
+        w, _, _, values = hashed(batch.column("text"))
+        phrase = mix(rolling(values, PHRASE))
         at = np.unique(chosen(w, phrase)[1])
         keys, first, n = np.unique(phrase[at], return_index=True, return_counts=True)
         raw, at = w.data.tobytes(), at[first]
@@ -118,16 +118,17 @@ class Automaton:
             self.machine.add_word(as_characters(np.array(codes)), 1)
         self.machine.make_automaton()
 
-    def occurrences(self, w: Words, which: np.ndarray, distinct: pa.Array) -> np.ndarray:
+    def occurrences(self, w: Words, which: np.ndarray, distinct: list[bytes]) -> np.ndarray:
         """The words at which a phrase begins, marked, for all texts of a batch."""
-        number = np.array([self.numbers.get(x, 0) for x in distinct.to_pylist()], np.int64)
         marks = np.zeros(len(which), bool)
         if len(self.machine) and len(which):
+            get, ends = self.numbers.get, []
+            number = np.array([get(x, 0) for x in distinct], np.int64)
             signs, first = as_characters(number[which]), w.first.tolist()
             for a, b in zip(first[:-1], first[1:], strict=True):
                 if b - a >= WINDOW:
-                    ends = [end for end, _ in self.machine.iter(signs, a, b)]
-                    marks[np.array(ends, np.int64) - PHRASE + 1] = True
+                    ends += [end for end, _ in self.machine.iter(signs, a, b)]
+            marks[np.array(ends, np.int64) - PHRASE + 1] = True
         return marks
 
 
@@ -147,13 +148,13 @@ def find_windows(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
 
 def open_runs(batch: pa.RecordBatch, automaton: Automaton) -> tuple[np.ndarray, ...]:
     """(key, doc_id, start, length, open windows, their hashes, their second hashes, is settled) of a batch's runs of candidates."""
-    w, which, distinct, phrase = hashed(batch.column("text"))
+    w, which, distinct, values = hashed(batch.column("text"))
+    phrase = mix(rolling(values, PHRASE))
     starts, place = chosen(w, phrase)
     hit = automaton.occurrences(w, which, distinct)[place]
     starts, place = starts[hit], place[hit]
     key, row = phrase[place], w.doc[starts]
-    twice = [mix(rolling(word_hashes(distinct, seed)[which], WINDOW)[starts]) if len(starts) else key for seed in (0, 1)]
-    h, check = twice
+    h, check = (mix(rolling(x, WINDOW)[starts]) if len(starts) else key for x in (values, mix(values)))
     ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
     start = starts - w.first[row]
     # all but the earliest of the windows that are equal inside the batch are settled
