@@ -182,6 +182,15 @@ def with_views(body: str, *views: str) -> str:
     return "WITH " + ",\n".join(v.strip() for v in views) + body
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A small result that several later steps read, written to the shared folder and read back."""
+    from .streams import shared
+
+    path = shared(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def catalogue():  # noqa: ANN201
     """(queries, SQL, decorator): an empty catalogue of a module and the decorator that fills it."""
     queries, sql_of = {}, {}
