@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import disruption, explore, ingest, models, monitoring, panels, seasons, shifts, streams, tables, vessels, warnings
+from . import disruption, explore, ingest, models, monitoring, panels, parsers, seasons, shifts, streams, tables, vessels, warnings
 
-MODULES = (vessels, panels, monitoring, explore, ingest, streams, models, warnings, disruption, seasons, shifts, tables)
+MODULES = (vessels, panels, monitoring, explore, ingest, streams, models, warnings, disruption, seasons, shifts, tables, parsers)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
