@@ -67,10 +67,11 @@ def null_spikes(df: DataFrame, source: str, is_new: Column, columns: list[str],
 
 
 def schema_drift(df: DataFrame, expected: list[str]) -> DataFrame:
-    """(column_name, problem): unexpected and missing columns."""
-    have = set(df.columns)
-    rows = [(c, "unexpected") for c in sorted(have - set(expected))] + [(c, "missing") for c in sorted(set(expected) - have)]
-    return df.sparkSession.createDataFrame(rows, "column_name string, problem string")
+    """(column_name, problem, filled): unexpected columns with the rows that fill them, and missing ones."""
+    new, gone = sorted(set(df.columns) - set(expected)), sorted(set(expected) - set(df.columns))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit("unexpected").alias("problem"), F.count(c).alias("filled")) for c in new]
+    cells += [F.struct(F.lit(c).alias("column_name"), F.lit("missing").alias("problem"), F.lit(0).cast("long").alias("filled")) for c in gone]
+    return df.agg(F.array(*cells).alias("c")).select(F.inline("c")) if cells else df.limit(0).select(F.lit("").alias("column_name"), F.lit("").alias("problem"), F.lit(0).cast("long").alias("filled"))
 
 
 def row_drops(counts: DataFrame, baseline: DataFrame, key: str, share: float = 0.01) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import clip, haversine_km, pct_change, safe_ratio, week_start
+from ..functions.expr import clip, pct_change, safe_ratio, week_start
+from .spatial import spatial_join
 from .temporal import calendar_days, full_mean, rows, weekly_grid
 
 
@@ -27,9 +28,8 @@ def hazards_near(days: DataFrame, places: DataFrame, events: DataFrame, entity:
 
     Events meet places first, by place; a pair then lasts for its days.
     """
-    km = haversine_km(F.col("p.latitude"), F.col("p.longitude"), F.col("e.latitude"), F.col("e.longitude"))
-    # places are a reference list of at most a few thousand rows; beyond that use spatial_join
-    pairs = events.alias("e").join(F.broadcast(places.alias("p")), km <= radius_km).select(F.col(f"p.{entity}"), "e.event_id", "e.event_type", "e.alert_level", "e.from_date", "e.to_date")
+    near = spatial_join(places, events, radius_km, entity, "event_id").drop("km")
+    pairs = near.join(events.select("event_id", "event_type", "alert_level", "from_date", "to_date"), "event_id")
     each = pairs.withColumn(day, F.explode(F.sequence("from_date", "to_date")))
     worst = F.max(F.when(F.col("alert_level") == "RED", 3).when(F.col("alert_level") == "ORANGE", 2).otherwise(1))
     found = each.groupBy(entity, day).agg(F.count_distinct("event_id").alias("nearby_events"), F.array_join(F.array_sort(F.collect_set("event_type")), "; ").alias("nearby_types"), worst.alias("nearby_max_alert"))

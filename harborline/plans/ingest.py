@@ -35,7 +35,8 @@ def parse_geojson_positions(spark: SparkSession, sf: str) -> DataFrame:
     return ps.geojson_positions(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def _ais(spark: SparkSession, sf: str) -> DataFrame:
+def envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """Position reports and ship data in message envelopes."""
     e = F.col("event_id")
     meta = F.struct(F.col("mmsi").alias("MMSI"), F.concat("vessel_name", F.lit("  ")).alias("ShipName"), F.concat(stamp("timestamp"), F.lit("123 +0000 UTC")).alias("time_utc"))
     report = F.struct(F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"), F.col("sog").alias("Sog"))
@@ -47,7 +48,7 @@ def _ais(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("parse_ais_messages", with_views("SELECT mmsi, vessel_name, timestamp, latitude, longitude, sog, NULL::BIGINT AS imo, NULL::DOUBLE AS length_m, NULL::DOUBLE AS beam_m FROM v_positions WHERE event_id % 4 <> 0 UNION ALL SELECT mmsi, vessel_name, timestamp, NULL, NULL, NULL, imo, nullif(event_id % 3, 0), nullif(event_id % 4 + event_id % 2, 0) FROM v_positions WHERE event_id % 4 = 0", POSITIONS))
 def parse_ais_messages(spark: SparkSession, sf: str) -> DataFrame:
-    positions, vessels = ps.ais_messages(_ais(spark, sf))
+    positions, vessels = ps.ais_messages(envelopes(spark, sf))
     return positions.unionByName(vessels, allowMissingColumns=True).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 

@@ -37,10 +37,24 @@ def quality_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return table_quality(spark, sf).where("null_rate > 0.15")
 
 
-@query("quality_report", "SELECT 'orders' AS table_name, count(*) AS total_rows, count(*) FILTER (WHERE o_orderstatus = 'P') AS flagged FROM orders UNION ALL SELECT 'lineitem', count(*), count(*) FILTER (WHERE l_linestatus = 'F') FROM lineitem UNION ALL SELECT 'events', count(*), count(*) FILTER (WHERE event_type = 'error') FROM events")
+CALLS = "pcalls AS (SELECT CASE WHEN event_id % 13 <> 0 THEN source END AS source, destination, sog FROM v_positions)"
+CALL_COLUMNS = ["source", "destination", "sog"]
+
+
+def _nulls_of(name: str, table: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, (count(*) - count({c})) / count(*) AS null_rate FROM {table} HAVING count(*) > count({c})" for c in columns)
+
+
+@query("quality_report", with_views(f"SELECT * FROM ({_nulls_of('positions', 'v_positions', COLUMNS)} UNION ALL {_nulls_of('port_calls', 'pcalls', CALL_COLUMNS)}) UNION ALL SELECT 'all tables', NULL, (SELECT count(*) FROM v_positions) + (SELECT count(*) FROM pcalls) + (SELECT count(*) FROM orders), NULL", POSITIONS, CALLS))
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    one = lambda t, c: v.table(spark, sf, t).agg(F.count("*").alias("total_rows"), F.count(F.when(c, 1)).alias("flagged")).select(F.lit(t).alias("table_name"), "total_rows", "flagged")
-    return one("orders", F.col("o_orderstatus") == "P").union(one("lineitem", F.col("l_linestatus") == "F")).union(one("events", F.col("event_type") == "error"))
+    """Null rates of every table, one scan each, and the rows of all."""
+    p = v.positions(spark, sf)
+    calls = p.select(F.when(F.col("event_id") % 13 != 0, F.col("source")).alias("source"), "destination", "sog")
+    tables = {"positions": p.select(*COLUMNS), "port_calls": calls, "orders": v.table(spark, sf, "orders")}
+    rates = [mo.null_rates(df).select(F.lit(name).alias("table_name"), "column_name", "total_rows", "null_rate") for name, df in tables.items()]
+    counts = [df.agg(F.count("*").alias("n")) for df in tables.values()]
+    total = counts[0].union(counts[1]).union(counts[2]).agg(F.sum("n").alias("total_rows")).select(F.lit("all tables").alias("table_name"), "total_rows")
+    return rates[0].union(rates[1]).union(rates[2]).unionByName(total, allowMissingColumns=True)
 
 
 @query("overview_counts", "SELECT 'orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'customer', count(*) FROM customer")
@@ -106,14 +120,16 @@ def null_spike_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return mo.null_spikes(p, "source", new, ["imo", "sog"])
 
 
-@query("run_alerts", with_views(f"SELECT source, 'stale' AS kind FROM ({ORACLE_SQL['stale_source_alerts'].partition('SELECT source, max(collection_ts)')[1]}{ORACLE_SQL['stale_source_alerts'].partition('SELECT source, max(collection_ts)')[2]}) UNION ALL SELECT source, 'rows' FROM ({ORACLE_SQL['row_drop_alerts'][ORACLE_SQL['row_drop_alerts'].index('SELECT source, c.n'):]})", RUNS))
+@query("run_alerts", with_views(f"SELECT source, 'stale' AS kind FROM ({ORACLE_SQL['stale_source_alerts'].partition('SELECT source, max(collection_ts)')[1]}{ORACLE_SQL['stale_source_alerts'].partition('SELECT source, max(collection_ts)')[2]}) UNION ALL SELECT source, 'rows' FROM ({ORACLE_SQL['row_drop_alerts'][ORACLE_SQL['row_drop_alerts'].index('SELECT source, c.n'):]}) UNION ALL SELECT source, 'nulls' FROM ({SPIKES}) WHERE new_rate - old_rate >= 0.25", RUNS, POSITIONS, SPIKED))
 def run_alerts(spark: SparkSession, sf: str) -> DataFrame:
     stale = stale_source_alerts(spark, sf).select("source", F.lit("stale").alias("kind"))
-    return stale.unionByName(row_drop_alerts(spark, sf).select("source", F.lit("rows").alias("kind")))
+    spikes = null_spike_alerts(spark, sf).select("source", F.lit("nulls").alias("kind"))
+    return stale.unionByName(row_drop_alerts(spark, sf).select("source", F.lit("rows").alias("kind"))).unionByName(spikes)
 
 
-@query("schema_drift", "SELECT 'o_orderdate' AS column_name, 'unexpected' AS problem UNION ALL SELECT 'o_clerk', 'missing'")
+@query("schema_drift", "SELECT 'o_orderdate' AS column_name, 'unexpected' AS problem, count(o_orderdate) AS filled FROM orders UNION ALL SELECT 'o_clerk', 'missing', 0")
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns that are not in the table's specification, with the rows that fill them, and those that are absent."""
     return mo.schema_drift(v.table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_clerk"])
 
 
@@ -195,6 +211,12 @@ def _cooldown(key, frame):  # noqa: ANN001, ANN202
 
 @query("alert_cooldown")
 def alert_cooldown(spark: SparkSession, sf: str) -> DataFrame:
-    """Sequential by nature: whether an alert fires depends on the last that did.  Keys are source and hour, so groups stay small."""
+    """Sequential by nature: whether an alert fires depends on the last that did, as long as alerts are less than a day apart.
+
+    A gap of a day starts anew, so groups are a source's alerts between two such gaps.
+    """
     alerts = duration_anomaly(spark, sf).join(v.runs(spark, sf).select("run_id", "collection_ts"), "run_id").select("source", "run_id", "collection_ts")
-    return alerts.groupBy("source").applyInPandas(_cooldown, alerts.schema)
+    gap = F.expr("collection_ts - lag(collection_ts) OVER (PARTITION BY source ORDER BY collection_ts, run_id) >= INTERVAL 1 DAY")
+    alerts = alerts.withColumn("gap", F.coalesce(gap, F.lit(True)).cast("int"))
+    alerts = alerts.withColumn("stretch", F.expr("sum(gap) OVER (PARTITION BY source ORDER BY collection_ts, run_id)")).drop("gap")
+    return alerts.groupBy("source", "stretch").applyInPandas(_cooldown, alerts.schema).drop("stretch")

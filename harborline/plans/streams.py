@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import parse
 from ..streaming import jobs
-from . import vessels
+from . import ingest, monitoring, vessels
 from . import views as v
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -32,7 +33,16 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_events(spark, f"{sf}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-QUERIES["stream_dedup"] = lambda spark, sf: run_to_end(spark, jobs.deduplicated(events(spark, sf), ["event_id"], "ts", "40 days").select("event_id", "user_id", "ts"))
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of which every third has landed twice."""
+    e = v.table(spark, sf, "events")
+    path = shared(spark)
+    e.unionByName(e.where("event_id % 3 = 0")).write.parquet(path)
+    landed = jobs.read_events(spark, path).withColumn("ts", F.col("ts").cast("timestamp"))
+    return run_to_end(spark, jobs.deduplicated(landed, ["event_id"], "ts", "40 days").select("event_id", "user_id", "ts"))
+
+
+QUERIES["stream_dedup"] = stream_dedup
 QUERIES["stream_tumbling"] = lambda spark, sf: run_to_end(spark, jobs.windowed_counts(events(spark, sf), "user_id", "ts"))
 QUERIES["stream_sliding"] = lambda spark, sf: run_to_end(spark, jobs.windowed_counts(events(spark, sf), "event_type", "ts", "7 days", "1 day"))
 QUERIES["stream_dwell_sessions"] = lambda spark, sf: run_to_end(spark, jobs.dwell_sessions(events(spark, sf), "user_id", "ts", "value", 20.0, "6 hours"))
@@ -49,8 +59,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     latest = events(spark, sf).select("user_id", "event_id", "ts", "value")
     q = latest.writeStream.foreachBatch(jobs.upsert_to(f"{path}/table", ["user_id"], "event_id")).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).start()
     q.awaitTermination()
-    version = spark.read.parquet(f"{path}/table/current").head()["version"]
-    return spark.read.parquet(f"{path}/table/v{version}")
+    return jobs.current_table(spark, f"{path}/table").select("user_id", "event_id", "ts", "value")
 
 
 QUERIES["stream_enrich"] = stream_enrich
@@ -58,3 +67,46 @@ ORACLE_SQL["stream_enrich"] = v.with_views("SELECT e.event_id, e.user_id, e.ts,
 QUERIES["stream_upsert"] = stream_upsert
 ORACLE_SQL["stream_upsert"] = "SELECT user_id, max(event_id) AS event_id, arg_max(ts, event_id) AS ts, arg_max(value, event_id) AS value FROM events GROUP BY 1"
 ORACLE_SQL["stream_dedup"] = "SELECT event_id, user_id, ts FROM events"
+
+
+def stream_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Message envelopes decoded as they land, into a table of positions and one of vessel data."""
+    raw, out = shared(spark), shared(spark)
+    ingest.envelopes(spark, sf).write.parquet(raw)
+    sink = jobs.positions_and_vessels(parse.ais_messages, f"{out}/positions", f"{out}/vessels")
+    q = jobs.read_events(spark, raw).writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/log").trigger(availableNow=True).start()
+    q.awaitTermination()
+    both = [spark.read.parquet(f"{out}/{n}").drop("batch") for n in ("positions", "vessels")]
+    return both[0].unionByName(both[1], allowMissingColumns=True).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+QUERIES["stream_positions"] = stream_positions
+ORACLE_SQL["stream_positions"] = ingest.ORACLE_SQL["parse_ais_messages"]
+
+
+def landed(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows as a stream of files, with state kept in RocksDB."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    path = shared(spark)
+    rows.write.parquet(path)
+    return jobs.read_events(spark, path)
+
+
+def stream_alert_cooldown(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts about slow runs, at most one a day for each source."""
+    slow = monitoring.duration_anomaly(spark, sf).join(v.runs(spark, sf).select("run_id", "collection_ts"), "run_id")
+    alerts = slow.select("source", (F.unix_micros(F.col("collection_ts").cast("timestamp")) / 1e6).alias("at"), F.col("run_id").alias("alert_id"))
+    return run_to_end(spark, jobs.cooled_down(landed(spark, alerts), "source", 86_400.0))
+
+
+QUERIES["stream_alert_cooldown"] = stream_alert_cooldown
+
+
+def stream_volume_anomaly(spark: SparkSession, sf: str) -> DataFrame:
+    """Every run's rows against the last runs of its source."""
+    runs = v.runs(spark, sf).select("source", (F.unix_micros(F.col("collection_ts").cast("timestamp")) / 1e6).alias("at"), "run_id", F.col("rows_written").alias("n"))
+    return run_to_end(spark, jobs.scored_volumes(landed(spark, runs), "source")).select("source", "run_id", "n", F.nanvl("z", F.lit(None).cast("double")).alias("z"))
+
+
+QUERIES["stream_volume_anomaly"] = stream_volume_anomaly
+ORACLE_SQL["stream_volume_anomaly"] = v.with_views("SELECT source, run_id, rows_written AS n, CASE WHEN count(rows_written) OVER w >= 5 AND stddev_pop(rows_written) OVER w > 0 THEN (rows_written - avg(rows_written) OVER w) / stddev_pop(rows_written) OVER w END AS z FROM v_runs WINDOW w AS (PARTITION BY source ORDER BY collection_ts, run_id ROWS 29 PRECEDING)", v.RUNS)

@@ -11,6 +11,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -46,25 +47,48 @@ def enriched(events: DataFrame, vessels: DataFrame, key: str) -> DataFrame:
     return events.join(vessels, key, "left")
 
 
+#: Hash parts that an upserted table is kept in.
+PARTS = 16
+POINTER = "part int, version long"
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that `upsert_to` keeps: of each part the newest version that a pointer names; None before the first batch."""
+    try:
+        pointers = spark.read.schema(POINTER).parquet(f"{path}/pointers")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    newest = pointers.groupBy("part").agg(F.max("version").alias("version"))
+    stored = spark.read.parquet(f"{path}/data").withColumns({"part": F.col("part").cast("int"), "version": F.col("version").cast("long")})
+    return stored.join(F.broadcast(newest), ["part", "version"], "left_semi")  # PARTS rows
+
+
 def upsert_to(path: str, keys: list[str], order: str):  # noqa: ANN201
     """A foreachBatch sink: the table of `path` with the batch's last row per key in place of older ones.
 
-    Versions lie side by side; a pointer row names the current one, so a batch
-    that fails half-way leaves the table as it was.
+    Rows lie in parts by a hash of their key, and a batch writes new versions of
+    the parts that it touches.  Pointers to them are appended after that; nothing
+    is ever deleted or overwritten that a pointer names.  A batch that fails at
+    any point leaves the table as it was, and the same batch run again gives the
+    same table.  Batches are numbered by one query's checkpoint.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            version = spark.read.parquet(f"{path}/current").head()["version"]
-            stored = spark.read.parquet(f"{path}/v{version}")
-            merged = keyed.upsert(stored, batch.where(F.lit(True)), keys, order)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        stored = current_table(spark, path)
+        if stored is not None and not spark.read.schema(POINTER).parquet(f"{path}/pointers").where(F.col("version") == batch_id).isEmpty():
+            return  # a replay of a batch that was done
+        batch = batch.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")).persist()
+        touched = batch.select("part").distinct()
+        if stored is None:
             merged = keyed.keep_last(batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
-        spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+        else:
+            merged = keyed.upsert(stored.join(touched, "part", "left_semi").select(*batch.columns), batch, keys, order)
+        merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/version={batch_id}")
+        touched.withColumn("version", F.lit(batch_id).cast("long")).coalesce(1).write.mode("append").parquet(f"{path}/pointers")
+        batch.unpersist()
 
     return write
 
