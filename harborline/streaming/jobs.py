@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -60,9 +61,9 @@ def current_table(spark: SparkSession, path: str) -> DataFrame | None:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    newest = pointers.groupBy("part").agg(F.max("version").alias("version"))
-    stored = spark.read.parquet(f"{path}/data").withColumns({"part": F.col("part").cast("int"), "version": F.col("version").cast("long")})
-    return stored.join(F.broadcast(newest), ["part", "version"], "left_semi")  # PARTS rows
+    newest = pointers.groupBy("part").agg(F.max("version").alias("version")).collect()  # PARTS rows
+    named = reduce(lambda a, b: a | b, [(F.col("part") == r["part"]) & (F.col("version") == r["version"]) for r in newest], F.lit(False))
+    return spark.read.parquet(f"{path}/data").where(named)  # partition columns: no other file is read
 
 
 def upsert_to(path: str, keys: list[str], order: str):  # noqa: ANN201
