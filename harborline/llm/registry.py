@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_model, packing, phrases, pii, quality, sharding, simhash, suffixes, urls
+from . import alignment, decontaminate, language_model, packing, phrases, pii, quality, sharding, simhash, suffixes, urls
 
-MODULES = (packing, decontaminate, simhash, urls, phrases, sharding, language_model, pii, quality, suffixes)
+MODULES = (packing, decontaminate, simhash, urls, phrases, sharding, language_model, pii, quality, suffixes, alignment)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
