@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, decontaminate, language_model, packing, phrases, pii, quality, sharding, simhash, suffixes, urls
+from . import alignment, boosting, decontaminate, language_model, packing, phrases, pii, quality, sharding, simhash, suffixes, urls, whitening
 
-MODULES = (packing, decontaminate, simhash, urls, phrases, sharding, language_model, pii, quality, suffixes, alignment)
+MODULES = (packing, decontaminate, simhash, urls, phrases, sharding, language_model, pii, quality, suffixes, alignment, whitening, boosting)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
