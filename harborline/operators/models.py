@@ -56,3 +56,34 @@ def platt(df: DataFrame, chance: str, label: str, at: DataFrame) -> DataFrame:
     logit = lambda d: VectorAssembler(inputCols=["_logit"], outputCol="_x").transform(d.withColumn("_logit", F.log(p / (1 - p))))
     model = LogisticRegression(labelCol=label, featuresCol="_x", regParam=0.0, probabilityCol="_p", rawPredictionCol="_r", predictionCol="_c").fit(logit(df))
     return model.transform(logit(at)).withColumn("calibrated", vector_to_array("_p")[1]).drop("_logit", "_x", "_p", "_r", "_c")
+
+
+def boosted_folds(rows: DataFrame, origin: str, horizon: str, label: str, horizons: tuple[int, ...], cutoffs: list[str], valid_weeks: int, winsor: float, iterations: int = 20, depth: int = 3, step: float = 0.1) -> DataFrame:
+    """Boosted trees under absolute loss for each horizon and cutoff, forecasting origins up to the next cutoff.
+
+    The number of trees is the best on the valid_weeks before the cutoff; then all
+    rows whose outcome was known are fitted again.  Training labels are clipped
+    to their winsor quantiles.  A fold without rows of either part is left out.
+    """
+    out = []
+    for i, cut in enumerate(cutoffs):
+        for h in horizons:
+            own, end = rows.where(F.col(horizon) == h), F.to_date(F.lit(cut))
+            known = own.where(F.date_add(origin, 7 * h) <= end)
+            start = F.date_sub(end, 7 * valid_weeks)
+            known = known.withColumn("_valid", F.col(origin) >= start).where(F.col("_valid") | (F.date_add(origin, 7 * h) <= start))
+            known = known.cache()
+            ends = known.agg(F.percentile(label, F.array(F.lit(winsor), F.lit(1 - winsor))).alias("q"), F.count_if("_valid").alias("v"), F.count_if(~F.col("_valid")).alias("n")).head()
+            if not (ends.v and ends.n):
+                continue
+            clipped = F.least(F.greatest(F.col(label), F.lit(ends.q[0])), F.lit(ends.q[1]))
+            known = known.withColumn("_y", F.when(F.col("_valid"), F.col(label)).otherwise(clipped))
+            est = GBTRegressor(labelCol="_y", featuresCol="features", lossType="absolute", maxIter=iterations, maxDepth=depth, stepSize=step, seed=1, validationIndicatorCol="_valid")
+            best = est.fit(known).getNumTrees
+            final = GBTRegressor(labelCol="_y", featuresCol="features", lossType="absolute", maxIter=best, maxDepth=depth, stepSize=step, seed=1).fit(known.withColumn("_y", clipped))
+            test = own.where(F.col(origin) >= end)
+            if i + 1 < len(cutoffs):
+                test = test.where(F.col(origin) < cutoffs[i + 1])
+            out.append(final.transform(test).select(origin, horizon, end.alias("cutoff"), F.col(label), "prediction", F.lit(best).alias("trees")))
+            known.unpersist()
+    return reduce(DataFrame.unionByName, out)

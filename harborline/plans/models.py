@@ -56,18 +56,5 @@ def platt_calibration(spark: SparkSession, sf: str) -> DataFrame:
     return mo.platt(p.where(F.col("cutoff") < CUTOFFS[-1]), "chance", "y", p.where(F.col("cutoff") == CUTOFFS[-1]))
 
 
-def ridge_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
-    fit, score = mo.ridge("target", 0.5)
-    out = mo.walk_forward(forecast_rows(spark, sf), "target_week", "week_start", CUTOFFS, fit, score)
-    return out.select("port_id", "week_start", "target_week", "cutoff", "target", "prediction")
-
-
-def score_r2_hit(spark: SparkSession, sf: str) -> DataFrame:
-    """R-squared against no change, and how often the sign is right, by cutoff."""
-    y, p = F.col("target"), F.col("prediction")
-    out = ridge_walk_forward(spark, sf).groupBy("cutoff")
-    return out.agg(F.count("*").alias("n"), (1 - F.sum((y - p) * (y - p)) / F.sum(y * y)).alias("r2"), F.avg(F.when(p != 0, (F.signum(p) == F.signum(y)).cast("double"))).alias("hit_rate"))
-
-
-for _f in (walk_forward_forecast, walk_forward_classifier, platt_calibration, ridge_walk_forward, score_r2_hit):
+for _f in (walk_forward_forecast, walk_forward_classifier, platt_calibration):
     QUERIES[_f.__name__] = _f

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import models as mo
+from ..operators import regression as rg
 from ..operators import weekly as wk
 from . import views as v
 from .views import ACTIVITY, PRICES, TRANSITS, with_views
@@ -29,6 +31,10 @@ SHIPPING = ["exp_world", *[f"exp_{g}" for g in EXPORTERS], *[f"imp_{g}" for g in
 STOCK_FEATURES = [*[f"stock_{s}_{k}" for s in ("crude", "cushing", "gasoline", "distillate") for k in ("chg1", "chg4", "dev5y")], "stock_spr_chg4"]
 FEATURE_SETS = {"price": PRICE_FEATURES, "price_stocks": [*PRICE_FEATURES, *STOCK_FEATURES], "full": [*PRICE_FEATURES, *STOCK_FEATURES, *[f"{s}_{k}" for s in SHIPPING for k in ("w4", "yoy")]]}
 
+#: Ridge strengths, quantile that targets are clipped to; the first test week, weeks between fits and of validation.
+STRENGTHS, WINSOR = (1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0), 0.02
+EVAL_START, RETRAIN_WEEKS, VALID_WEEKS = "1998-01-02", 13, 52
+
 FRIDAY = "CAST({0} AS DATE) + CAST((12 - extract(dow FROM {0})) % 7 AS INT)"
 MEMBERS = ", ".join(f"('{p}{n}', '{c}', '{p}')" for p, groups in (("exp_", EXPORTERS), ("imp_", IMPORTERS)) for n, cs in groups.items() for c in cs)
 FLOWS = f"""
@@ -151,3 +157,119 @@ def oil_features(spark: SparkSession, sf: str) -> DataFrame:
     out = wk.origin_prices(v.prices(spark, sf), origins(spark, sf))
     out = wk.known_by(wk.known_by(out, ships, LAG_WEEKS), held, LAG_WEEKS)
     return out.join(price_targets(spark, sf), "origin")
+
+
+def by_horizon(features: DataFrame) -> DataFrame:
+    """Every origin once for each horizon, with its outcome y."""
+    cells = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"y{h}").alias("y")) for h in HORIZONS])
+    return features.withColumn("_h", F.explode(cells)).select(*[c for c in features.columns if c not in {f"y{h}" for h in HORIZONS}], "_h.*")
+
+
+SIMPLE = "smp AS (" + " UNION ALL ".join(
+    f"SELECT * FROM (SELECT origin, {h} AS horizon, y{h} AS y, unnest([{{'m': 'no_change', 'p': 0.0}}, {{'m': 'drift', 'p': avg(y{h}) OVER (ORDER BY origin ROWS BETWEEN UNBOUNDED PRECEDING AND {h} PRECEDING)}}, {{'m': 'momentum', 'p': r4 * {h} / 4}}, {{'m': 'reversal', 'p': -r1 * {h}}}]) AS x FROM ofp)" for h in HORIZONS
+) + "), sm AS (SELECT origin, horizon, y, x.m AS model, x.p AS prediction FROM smp WHERE y IS NOT NULL AND x.p IS NOT NULL)"
+PRICES_ONLY = (PRICES, ORIGINS, ORIGIN_PRICES, TARGETS, "ofp AS (SELECT opf.origin, r1, r4, tg.* EXCLUDE (origin) FROM opf JOIN tg ON tg.origin = opf.origin)", SIMPLE)
+
+
+def simple_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """Forecasts that need no fit: none, the mean outcome known by then, the last month's change carried on, the last week's turned round."""
+    prices = wk.origin_prices(v.prices(spark, sf), origins(spark, sf)).select("origin", "r1", "r4").join(price_targets(spark, sf), "origin")
+    rows = by_horizon(prices)
+    w = Window.partitionBy("horizon").orderBy("origin")  # a row per week
+    mean = F.coalesce(*[F.when(F.col("horizon") == h, F.avg("y").over(w.rowsBetween(Window.unboundedPreceding, -h))) for h in HORIZONS])
+    models = {"no_change": F.lit(0.0), "drift": mean, "momentum": F.col("r4") * F.col("horizon") / 4, "reversal": -F.col("r1") * F.col("horizon")}
+    return rows.select("origin", "horizon", "y", *[c.alias(m) for m, c in models.items()]).unpivot(["origin", "horizon", "y"], list(models), "model", "prediction").where("y IS NOT NULL AND prediction IS NOT NULL")
+
+
+SCORES = "count(*) AS n, 1 - sum((y - prediction) ** 2) / nullif(sum(y * y), 0) AS r2, avg(CASE WHEN sign(prediction) = sign(y) THEN 1.0 ELSE 0.0 END) FILTER (WHERE prediction <> 0) AS hit_rate"
+
+
+@query("score_r2_hit", with_views(f"SELECT model, horizon, NULL AS year, {SCORES} FROM sm GROUP BY 1, 2 UNION ALL SELECT model, horizon, extract(year FROM origin) AS year, {SCORES} FROM sm GROUP BY 1, 2, 3", *PRICES_ONLY))
+def score_r2_hit(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the simple forecasts by model and horizon, over all years (year null) and by year."""
+    return scored(simple_forecasts(spark, sf))
+
+
+def scored(forecasts: DataFrame) -> DataFrame:
+    dated = forecasts.withColumn("year", F.year("origin"))
+    whole = rg.r2_and_hits(dated, ["model", "horizon"], "y", "prediction").withColumn("year", F.lit(None).cast("int"))
+    return whole.unionByName(rg.r2_and_hits(dated, ["model", "horizon", "year"], "y", "prediction"))
+
+
+def horner(cs: tuple[float, ...]) -> str:
+    out = repr(cs[0])
+    for c in cs[1:]:
+        out = f"({out} * x + {c!r})"
+    return out
+
+
+CW = f"""
+cw0 AS (SELECT model, horizon, origin, y * y - ((y - prediction) ** 2 - prediction ** 2) AS f FROM sm WHERE model <> 'no_change'),
+cw1 AS (SELECT *, f - avg(f) OVER (PARTITION BY model, horizon) AS d, row_number() OVER (PARTITION BY model, horizon ORDER BY origin) AS i FROM cw0),
+cw2 AS (SELECT a.model, a.horizon, b.i - a.i AS k, sum(a.d * b.d) AS s FROM cw1 a JOIN cw1 b ON b.model = a.model AND b.horizon = a.horizon AND b.i - a.i BETWEEN 0 AND a.horizon - 1 GROUP BY 1, 2, 3),
+cw3 AS (SELECT model, horizon, sum(CASE k WHEN 0 THEN s ELSE 2 * (1 - k / horizon) * s END) AS s FROM cw2 GROUP BY 1, 2),
+cw4 AS (SELECT c.model, c.horizon, count(*) AS n, CASE WHEN count(*) >= 10 AND any_value(s) > 0 THEN avg(f) / sqrt(any_value(s) / count(*) / count(*)) END AS t FROM cw0 c JOIN cw3 v ON v.model = c.model AND v.horizon = c.horizon GROUP BY 1, 2),
+cw5 AS (SELECT *, abs(t) AS x, exp(-t * t / 2) * CASE WHEN abs(t) < 7.07106781186547 THEN {horner(rg.TAIL_ABOVE).replace('x', 'abs(t)')} / {horner(rg.TAIL_BELOW).replace('x', 'abs(t)')}
+  ELSE 1 / (abs(t) + 1 / (abs(t) + 2 / (abs(t) + 3 / (abs(t) + 4 / (abs(t) + 0.65))))) / 2.506628274631 END AS tail FROM cw4)
+SELECT model, horizon, n, t, CASE WHEN t >= 0 THEN tail WHEN t < 0 THEN 1 - tail END AS p FROM cw5"""
+
+
+@query("clark_west", with_views(CW.strip().removeprefix("cw0"), *PRICES_ONLY, "cw0"))
+def clark_west(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the simple forecasts beat no change by more than luck; overlapping targets of h weeks take h - 1 lags."""
+    f = simple_forecasts(spark, sf).where("model != 'no_change'")
+    return rg.clark_west(f, ["model", "horizon"], "origin", "y", "prediction", F.col("horizon") - 1, max(HORIZONS) - 1)
+
+
+def cutoffs(features: DataFrame) -> DataFrame:
+    """The first test week and every RETRAIN_WEEKS-th after it, each with the next; a calendar."""
+    w = Window.orderBy("origin")
+    tested = features.where((F.col("origin") >= EVAL_START) & F.col("y1").isNotNull())
+    every = tested.select("origin", (F.row_number().over(w) - 1).alias("i")).where(F.pmod("i", F.lit(RETRAIN_WEEKS)) == 0)
+    return every.select(F.col("origin").alias("cutoff"), F.lead("origin").over(w).alias("until"))
+
+
+def ridges(features: DataFrame, at: DataFrame, tests: DataFrame) -> DataFrame:
+    """Forecasts of tests (cutoff, horizon, origin, y, inputs) by the nested ridges, the drift and no change, all fitted at the cutoffs."""
+    names = FEATURE_SETS["full"]
+    folded = rg.folds_of(by_horizon(features).where("y IS NOT NULL").select("origin", "horizon", "y", *names), at.select("cutoff"), "origin", VALID_WEEKS)
+    fits = v.stored(rg.fit_ridges(folded, names, {f"ridge_{s}": c for s, c in FEATURE_SETS.items()}, "y", STRENGTHS, WINSOR))
+    keep = ["origin", "horizon", "cutoff", "y", "model", "prediction", "strength", "valid_r2"]
+    out = rg.predict_ridges(tests, fits, names).select(*keep)
+    plain = tests.join(rg.drift(folded, "y", WINSOR), rg.KEYS).withColumn("no_change", F.lit(0.0)).unpivot(["origin", "horizon", "cutoff", "y"], ["drift", "no_change"], "model", "prediction")
+    return out.unionByName(plain, allowMissingColumns=True)
+
+
+@query("ridge_walk_forward")
+def ridge_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Ridges on nested inputs, refitted at every cutoff, forecasting the weeks up to the next one."""
+    features = v.stored(oil_features(spark, sf))
+    at = v.stored(cutoffs(features))
+    tests = by_horizon(features).where("y IS NOT NULL").crossJoin(F.broadcast(at)).where("origin >= cutoff AND (until IS NULL OR origin < until)").drop("until")
+    return ridges(features, at, tests)
+
+
+@query("ridge_scores")
+def ridge_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """R2, hit rate and Clark-West test of the ridges by horizon, over all years and by year."""
+    f = v.stored(ridge_walk_forward(spark, sf))
+    tested = rg.clark_west(f.where("model != 'no_change'"), ["model", "horizon"], "origin", "y", "prediction", F.col("horizon") - 1, max(HORIZONS) - 1)
+    return scored(f).join(tested.drop("n"), ["model", "horizon"], "left").withColumns({c: F.when(F.col("year").isNull(), F.col(c)) for c in ("t", "p")})
+
+
+@query("latest_price_forecast")
+def latest_price_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest origin with a close, forecast by models fitted on all that is known by then."""
+    features = v.stored(oil_features(spark, sf))
+    newest = features.where("brent_usd IS NOT NULL").agg(F.max("origin").alias("cutoff"))
+    tests = by_horizon(features).join(F.broadcast(newest), F.col("origin") == F.col("cutoff"))
+    out = ridges(features, newest, tests).join(features.select("origin", "brent_usd"), "origin")
+    return out.withColumn("target", F.date_add("origin", 7 * F.col("horizon"))).drop("cutoff", "y")
+
+
+@query("boosted_walk_forward")
+def boosted_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees on all inputs, one per horizon and yearly cutoff, their number chosen on the year before it."""
+    features = v.stored(oil_features(spark, sf))
+    rows = v.stored(mo.prepared(by_horizon(features).where("y IS NOT NULL"), FEATURE_SETS["full"]).select("origin", "horizon", "y", "features"))
+    return mo.boosted_folds(rows, "origin", "horizon", "y", HORIZONS, ["1999-12-31", "2000-12-29"], VALID_WEEKS, WINSOR)
