@@ -14,7 +14,9 @@ documents, and whoever holds the key can turn it round.
 A map over the scan: no exchange, no Python.
 
 Defined results: a null text stays null with counts 0; an empty text stays
-empty; very long texts are read to their end; numbers that fail their check,
+empty; very long texts and values are read to their end, in time in proportion
+to their length; a host name has at most 126 labels before its last one, of 63
+characters each; numbers that fail their check,
 and dates outside the years 200 to 9799, stay as they are; repeated rows are
 treated alike; other columns pass through ``pseudonymise`` unchanged, except
 that with counts a column that is called n_<kind> gives way to the count.
@@ -30,13 +32,15 @@ from pyspark.sql import functions as F
 from .common import table
 
 ROUNDS = 8
+#: Places that one digest has numbers for.
+PLACES = 10
 #: For tests and the registered query; production passes a secret of its own.
 DEMO_KEY = "not a secret"
 KINDS = ("email", "ip", "date", "ssn", "iban", "phone", "card", "secret")
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PARTS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,255}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,255}@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}",
     "secret": r"(?<=(?:token|secret|password|api_key|apikey) = \")[^\"\s]{16,}(?=\")",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
     "date": r"(?<![\d/.-])(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\d/-])",
@@ -53,9 +57,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _noise(seed: Column, i: Column, radix: Column) -> Column:
-    """A number below radix that depends on the seed and the place."""
-    return F.pmod(F.conv(F.substring(F.sha2(F.concat_ws("|", seed, i.cast("string")), 256), 1, 12), 16, 10).cast("long"), radix)
+def _noise(digests: Column, i: Column, radix: Column) -> Column:
+    """A number below radix from the twelve hexadecimal digits of the place."""
+    digits = F.substr(F.get(digests, F.floor(i / PLACES).cast("int")), (i % PLACES) * 12 + 1, F.lit(12))
+    return F.pmod(F.conv(digits, 16, 10).cast("long"), radix)
+
+
+def _digests(seed: Column, n: Column) -> Column:
+    """Digests for n places: the seed's own, and for long values digests of it with a running number."""
+    more = lambda d: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / PLACES).cast("int")), lambda b: F.when(b == 0, d).otherwise(F.sha2(F.concat_ws("|", d, b.cast("string")), 512)))
+    return let(F.sha2(seed, 512), lambda d: F.when(n <= PLACES, F.array(d)).otherwise(more(d)))
 
 
 def feistel(left: Column, right: Column, left_radix: Column, right_radix: Column, key: str, kind: str) -> Column:
@@ -64,7 +75,7 @@ def feistel(left: Column, right: Column, left_radix: Column, right_radix: Column
 
     def one(s: Column, step: Column) -> Column:
         seed = F.concat_ws("|", F.lit(key), F.lit(kind), step.cast("string"), s["b"].cast("string"))
-        moved = let(seed, lambda t: F.transform(s["a"], lambda x, i: let(F.get(s["ra"], i), lambda r: F.pmod(x + _noise(t, i, r), r))))
+        moved = let(_digests(seed, F.size(s["a"])), lambda t: F.transform(s["a"], lambda x, i: let(F.get(s["ra"], i), lambda r: F.pmod(x + _noise(t, i, r), r))))
         return F.struct(s["b"].alias("a"), moved.alias("b"), s["rb"].alias("ra"), s["ra"].alias("rb"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), first, one)
@@ -93,13 +104,14 @@ def permute_characters(s: Column, key: str, kind: str, letters: int = 26) -> Col
 
 def refill(match: Column, fresh: Column) -> Column:
     """match with its letters and digits replaced in turn by the characters of fresh."""
-    first = F.struct(F.lit("").alias("out"), F.lit(0).alias("i"))
+    placed = F.transform(F.split(match, ""), lambda c, i: F.struct(i.alias("i"), c.alias("c")))
+    used = lambda x: x["c"].rlike("[0-9A-Za-z]")
 
-    def one(s: Column, c: Column, f: Column) -> Column:
-        use = c.rlike("[0-9A-Za-z]")
-        return F.struct(F.concat(s["out"], F.when(use, F.substr(f, s["i"] + 1, F.lit(1))).otherwise(c)).alias("out"), (s["i"] + use.cast("int")).alias("i"))
+    def merged(p: Column) -> Column:
+        new = F.zip_with(F.filter(p, used), F.split(fresh, ""), lambda x, f: F.struct(x["i"].alias("i"), f.alias("c")))
+        return F.array_join(F.transform(F.array_sort(F.concat(new, F.filter(p, lambda x: ~used(x)))), lambda x: x["c"]), "")
 
-    return let(fresh, lambda f: F.aggregate(F.split(match, ""), first, lambda s, c: one(s, c, f), lambda s: s["out"]))
+    return F.when(match.rlike("^[0-9A-Za-z]*$"), fresh).otherwise(let(placed, merged))
 
 
 def _bare(s: Column) -> Column:
