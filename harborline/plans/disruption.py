@@ -114,11 +114,12 @@ EVENT_FEATURES = """ef AS (SELECT w.origin_week, w.target_week, w.horizon, w.por
 
 
 @query("event_features", with_views("SELECT * FROM ef", *ATT, EVENT_FEATURES))
-def event_features(spark: SparkSession, sf: str) -> DataFrame:
+def event_features(spark: SparkSession, sf: str, warnings: DataFrame | None = None) -> DataFrame:
     """Per warning row, the events known at release that could hit the target week."""
     kinds = v.hazards(spark, sf).select("event_id", "event_type").distinct()
     e = wa.event_exposure(spark, sf).join(kinds, "event_id").withColumnRenamed("week_start", "target_week")
-    known = pl.warning_rows(spark, sf).select(*KEYS).join(e, ["port_id", "target_week"]).where(F.col("from_date") <= F.date_add("origin_week", 15))
+    warnings = pl.warning_rows(spark, sf) if warnings is None else warnings
+    known = warnings.select(*KEYS).join(e, ["port_id", "target_week"]).where(F.col("from_date") <= F.date_add("origin_week", 15))
     nearest = F.min_by("event_type", F.struct(F.coalesce("km", F.lit(1e9)), "event_id"))
     return known.groupBy(*KEYS).agg(F.count("*").alias("event_n"), F.count(F.when(F.col("is_red"), 1)).alias("event_n_red"), F.min(F.when(F.col("is_red"), F.col("km"))).alias("event_red_km"), F.min(F.datediff("target_week", "from_date")).cast("long").alias("event_days"), nearest.alias("event_type"))
 
@@ -148,11 +149,12 @@ ANYWHERE_KM = 20_020.0
 
 
 @query("chokepoint_features", with_views("SELECT * FROM cf", *CHOKED))
-def chokepoint_features(spark: SparkSession, sf: str) -> DataFrame:
+def chokepoint_features(spark: SparkSession, sf: str, warnings: DataFrame | None = None) -> DataFrame:
     """Per origin and port, the state of the two nearest straits as known two days before release."""
     straits = pl.places(spark, sf)
     near = nearest_k(spatial_join(v.profiles(spark, sf), straits, ANYWHERE_KM, "port_id", "chokepoint_id"), "port_id", "chokepoint_id", 2)
-    origins = pl.warning_rows(spark, sf).select("origin_week").distinct().withColumn("transit_date", F.date_add("origin_week", 13))
+    warnings = pl.warning_rows(spark, sf) if warnings is None else warnings
+    origins = warnings.select("origin_week").distinct().withColumn("transit_date", F.date_add("origin_week", 13))
     each = chokepoint_state(spark, sf).join(origins, "transit_date").join(near, "chokepoint_id")
     of = lambda c, i: F.max(F.when(F.col("rank") == i, F.col(c))).alias(f"choke{i}_{c}")
     return each.groupBy("origin_week", "port_id").agg(*[of(c, i) for i in (1, 2) for c in ("km", "vs_year_ago", "vs_prior_28d")])
@@ -181,7 +183,7 @@ def with_inputs(warnings: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
     p = v.profiles(spark, sf).select("port_id", "continent", "latitude", "longitude")
     out = pa.rule_scores(warnings).drop("big", "origin_drop")
     out = out.join(at(ex.drop_state(spark, sf)), ["port_id", "origin_week"], "left").join(at(pl.history_features(spark, sf)).select("port_id", "origin_week", *PAST), ["port_id", "origin_week"], "left")
-    out = out.join(year_ago_drops(spark, sf), ["port_id", "target_week"], "left").join(event_features(spark, sf), KEYS, "left").join(chokepoint_features(spark, sf), ["port_id", "origin_week"], "left")
+    out = out.join(year_ago_drops(spark, sf), ["port_id", "target_week"], "left").join(event_features(spark, sf, warnings), KEYS, "left").join(chokepoint_features(spark, sf, warnings), ["port_id", "origin_week"], "left")
     out = out.join(at(wa.region_features(spark, sf)), ["port_id", "origin_week"], "left").join(ex.fleet_shares(spark, sf), "port_id", "left").join(p, "port_id", "left").join(at(pl.size_band(spark, sf)), ["port_id", "origin_week"], "left")
     fill = {"dropped_last_year": False, "event_n": 0, "event_n_red": 0, "event_type": "none", "neighbours": 0, "size_band": "unknown"}
     return out.withColumns({c: F.coalesce(c, F.lit(x)) for c, x in fill.items()})

@@ -183,5 +183,5 @@ def nnls_nowcast(spark: SparkSession, sf: str) -> DataFrame:
     """Non-negative least squares of official figures on the coasts, and of reported exports on the biggest ports."""
     coasts = nc.nonnegative_fit(monthly_panel(spark, sf), "series", "official", list(COASTS), -FIT_MONTHS, -1, FIT_MONTHS // 2)
     ports = nc.nonnegative_fit(country_panel(spark, sf), "country", "reported", [f"port_{i}" for i in range(1, TOP + 1)], -LAG - COUNTRY_FIT_MONTHS + 1, -LAG, COUNTRY_FIT_MONTHS // 2)
-    one = lambda df, model, entity, actual: df.where("guess IS NOT NULL").select(F.lit(model).alias("model"), F.col(entity).alias("entity"), "month", "n", "weights", F.col("guess").alias("nowcast"), F.col(actual).alias("actual"))
+    one = lambda df, model, entity, actual: df.where("guess IS NOT NULL").select(F.lit(model).alias("model"), F.col(entity).alias("entity"), "month", "n", *[F.get("weights", F.lit(i)).alias(f"weight_{i + 1}") for i in range(len(COASTS))], F.col("guess").alias("nowcast"), F.col(actual).alias("actual"))
     return one(coasts, "coasts", "series", "official").unionByName(one(ports, "ports", "country", "reported"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
+from ..operators import live as lv
 from . import panels as pl
 from . import views as v
 from .panels import ALERTS, BASE, FULL, LABELS
@@ -73,10 +74,26 @@ def merge_history(spark: SparkSession, sf: str) -> DataFrame:
     return ev.merge_history(old, old.where("origin_week >= '2001-06-01'").withColumn("last_z", F.col("last_z") * 2), "origin_week")
 
 
-QUERIES["track_record"] = lambda spark, sf: pl.top_budget_alerts(spark, sf).where("flagged").select("origin_week", "target_week", "horizon", "port_id", "y")
-ORACLE_SQL["track_record"] = with_views("SELECT origin_week, target_week, horizon, port_id, y FROM al WHERE flagged", *FULL, ALERTS)
-QUERIES["record_recent"] = lambda spark, sf: pl.top_budget_alerts(spark, sf).where("flagged AND origin_week >= '2001-06-01'").groupBy("target_week", "port_id").agg(F.max("last_z").alias("last_z"))
-ORACLE_SQL["record_recent"] = with_views("SELECT target_week, port_id, max(last_z) AS last_z FROM al WHERE flagged AND origin_week >= DATE '2001-06-01' GROUP BY 1, 2", *FULL, ALERTS)
+HISTORY = "hi AS (SELECT al.origin_week, al.target_week, al.horizon, al.port_id, wa.base_rate AS chance, al.flagged FROM al JOIN wa USING (origin_week, target_week, horizon, port_id))"
+RECORD = "tr AS (SELECT hi.*, lb.is_drop AS happened, lb.drop_pct FROM hi JOIN lb ON lb.port_id = hi.port_id AND lb.week_start = hi.target_week AND lb.is_drop IS NOT NULL)"
+
+
+def history(spark: SparkSession, sf: str) -> DataFrame:
+    """Warnings as they were given: the alerts of every past origin, with the base rate as their chance."""
+    rates = pl.warning_rows(spark, sf).select("origin_week", "target_week", "horizon", "port_id", F.col("base_rate").alias("chance"))
+    return pl.top_budget_alerts(spark, sf).select("origin_week", "target_week", "horizon", "port_id", "flagged").join(rates, ["origin_week", "target_week", "horizon", "port_id"])
+
+
+@query("track_record", with_views("SELECT * FROM tr", *FULL, ALERTS, HISTORY, RECORD))
+def track_record(spark: SparkSession, sf: str) -> DataFrame:
+    return lv.track_record(history(spark, sf), pl.label_drops(spark, sf), "port_id", "week_start")
+
+
+@query("record_recent", with_views("SELECT target_week, port_id, horizon, chance, happened, drop_pct FROM (SELECT *, row_number() OVER (PARTITION BY target_week, port_id ORDER BY chance DESC, horizon) AS r FROM tr WHERE flagged AND origin_week IN (SELECT DISTINCT origin_week FROM tr ORDER BY 1 DESC LIMIT 6)) WHERE r = 1", *FULL, ALERTS, HISTORY, RECORD))
+def record_recent(spark: SparkSession, sf: str) -> DataFrame:
+    return lv.recent_record(track_record(spark, sf), "port_id")
+
+
 QUERIES["region_expectation"] = lambda spark, sf: pl.warning_rows(spark, sf).join(v.profiles(spark, sf).select("port_id", "continent"), "port_id").groupBy("origin_week", "horizon", "continent").agg(F.sum("base_rate").alias("expected"))
 ORACLE_SQL["region_expectation"] = with_views("SELECT origin_week, horizon, continent, sum(base_rate) AS expected FROM wa JOIN v_profiles USING (port_id) GROUP BY 1, 2, 3", *FULL, PROFILES)
 QUERIES["weekly_origins"] = lambda spark, sf: pl.warning_rows(spark, sf).groupBy("origin_week").agg(F.count_distinct("horizon").alias("h")).where("h = 3").select("origin_week")
