@@ -43,9 +43,53 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["stream_dedup"] = stream_dedup
-QUERIES["stream_tumbling"] = lambda spark, sf: run_to_end(spark, jobs.windowed_counts(events(spark, sf), "user_id", "ts"))
-QUERIES["stream_sliding"] = lambda spark, sf: run_to_end(spark, jobs.windowed_counts(events(spark, sf), "event_type", "ts", "7 days", "1 day"))
-QUERIES["stream_dwell_sessions"] = lambda spark, sf: run_to_end(spark, jobs.dwell_sessions(events(spark, sf), "user_id", "ts", "value", 20.0, "6 hours"))
+
+
+def kept(spark: SparkSession, rows: DataFrame, sink, path: str) -> DataFrame:  # noqa: ANN001
+    """The table that a sink keeps once all that has landed went through it."""
+    q = rows.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return jobs.current_table(spark, f"{path}/table").drop("part", "version")
+
+
+def scattered(spark: SparkSession, sf: str) -> DataFrame:
+    """The events landed in files that are in no order of time, a few to a batch."""
+    path = shared(spark)
+    v.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).repartition(FILES, F.xxhash64("event_id")).write.parquet(path)
+    return jobs.read_events(spark, path, 2)
+
+
+FILES = 6
+NTZ = "timestamp_ntz"
+
+
+def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports per user and day; every window is there, the newest too, and late reports count."""
+    path = shared(spark)
+    out = kept(spark, jobs.window_counts(scattered(spark, sf), "user_id", "ts"), jobs.counts_to(f"{path}/table", ["user_id", "window_start"]), path)
+    return out.withColumn("window_start", F.col("window_start").cast(NTZ))
+
+
+def stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports per kind in weeks that start every day."""
+    path = shared(spark)
+    out = kept(spark, jobs.window_counts(scattered(spark, sf), "event_type", "ts", "7 days", "1 day"), jobs.counts_to(f"{path}/table", ["event_type", "window_start"]), path)
+    return out.withColumn("window_start", F.col("window_start").cast(NTZ))
+
+
+def stream_dwell_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Visits: slow reports with no longer gap than six hours; end is six hours after the last."""
+    path = shared(spark)
+    out = kept(spark, jobs.slow_reports(scattered(spark, sf), "user_id", "ts", "value", 20.0, "6 hours"), jobs.sessions_to(f"{path}/table", "user_id"), path)
+    return out.withColumns({"start": F.col("start").cast(NTZ), "end": F.col("end").cast(NTZ)})
+
+
+for _f in (stream_tumbling, stream_sliding, stream_dwell_sessions):
+    QUERIES[_f.__name__] = _f
+ORACLE_SQL["stream_tumbling"] = "SELECT user_id, date_trunc('day', ts) AS window_start, count(*) AS n FROM events GROUP BY 1, 2"
+ORACLE_SQL["stream_sliding"] = "SELECT event_type, date_trunc('day', ts) - INTERVAL 1 DAY * k AS window_start, count(*) AS n FROM events CROSS JOIN generate_series(0, 6) g(k) GROUP BY 1, 2"
+ORACLE_SQL["stream_dwell_sessions"] = """SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", count(*) AS reports FROM (SELECT *, sum(gone) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM (
+  SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS gone FROM events WHERE value < 20.0)) GROUP BY user_id, run"""
 
 
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,10 +100,9 @@ def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """The last report of each vessel, by repeated upserts."""
     path = shared(spark)
-    latest = events(spark, sf).select("user_id", "event_id", "ts", "value")
-    q = latest.writeStream.foreachBatch(jobs.upsert_to(f"{path}/table", ["user_id"], "event_id")).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return jobs.current_table(spark, f"{path}/table").select("user_id", "event_id", "ts", "value")
+    latest = scattered(spark, sf).select("user_id", "event_id", "ts", "value")
+    out = kept(spark, latest, jobs.upsert_to(f"{path}/table", ["user_id"], "event_id"), path)
+    return out.withColumn("ts", F.col("ts").cast(NTZ))
 
 
 QUERIES["stream_enrich"] = stream_enrich
