@@ -10,6 +10,8 @@ from . import views as v
 from .views import POSITIONS, with_views
 
 QUERIES, ORACLE_SQL = {}, {}
+#: Rows of a payload at most, keys running on: files have a bounded size, however many there are.
+PAYLOAD_ROWS = 1000
 
 
 def query(name: str, sql: str | None = None):  # noqa: ANN201
@@ -31,7 +33,7 @@ def parse_geojson_positions(spark: SparkSession, sf: str) -> DataFrame:
     p = v.positions(spark, sf)
     imo = F.when(F.col("event_id") % 5 == 0, F.lit("n/a")).otherwise(F.col("imo").cast("string"))
     feature = F.struct(F.struct(F.array("longitude", "latitude").alias("coordinates")).alias("geometry"), F.struct(F.col("mmsi").cast("string").alias("mmsi"), imo.alias("imo"), F.col("vessel_name").alias("name"), stamp("timestamp").alias("timestamp")).alias("properties"))
-    raw = p.groupBy("partition_date", F.hour("timestamp")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    raw = p.groupBy("partition_date", F.floor(F.col("event_id") / PAYLOAD_ROWS)).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
     return ps.geojson_positions(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -52,22 +54,13 @@ def parse_ais_messages(spark: SparkSession, sf: str) -> DataFrame:
     return positions.unionByName(vessels, allowMissingColumns=True).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-@query("parse_locode", "SELECT p_partkey, CASE WHEN ok THEN (d1 + m1 / 60.0) * CASE WHEN p_partkey % 2 = 0 THEN -1 ELSE 1 END END AS latitude, CASE WHEN ok THEN (d2 + m2 / 60.0) * CASE WHEN p_partkey % 3 = 0 THEN -1 ELSE 1 END END AS longitude FROM (SELECT *, d1 + m1 / 60.0 <= 90 AND d2 + m2 / 60.0 <= 180 AND m1 < 60 AND m2 < 60 AS ok FROM (SELECT p_partkey, p_partkey % 95 AS d1, p_partkey % 63 AS m1, p_partkey * 7 % 190 AS d2, p_partkey % 61 AS m2 FROM part))")
-def parse_locode(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("p_partkey")
-    two = lambda c, n: F.lpad(c.cast("string"), n, "0")
-    text = F.concat(two(k % 95, 2), two(k % 63, 2), F.when(k % 2 == 0, "S").otherwise("N"), F.lit(" "), two(k * 7 % 190, 3), two(k % 61, 2), F.when(k % 3 == 0, "W").otherwise("E"))
-    lat, lon = ps.locode_point(F.col("code"))
-    return v.table(spark, sf, "part").select("p_partkey", text.alias("code")).select("p_partkey", lat.alias("latitude"), lon.alias("longitude"))
-
-
 @query("parse_arcgis_features", "SELECT o_orderkey AS port_id, CAST(o_orderdate AS DATE) AS activity_date, CASE WHEN o_orderkey % 3 <> 2 THEN CAST(o_custkey AS INT) END AS portcalls FROM orders WHERE o_orderkey % 7 <> 0")
 def parse_arcgis_features(spark: SparkSession, sf: str) -> DataFrame:
     k, d = F.col("o_orderkey"), F.to_date("o_orderdate")
     date = F.when(k % 3 == 0, F.date_format(d, "yyyy-MM-dd")).when(k % 3 == 1, F.date_format(d, "yyyy/MM/dd")).otherwise((F.unix_date(d).cast("long") * 86_400_000).cast("string"))
     calls = F.when(k % 3 != 2, F.col("o_custkey").cast("string")).otherwise("many")
     attributes = F.create_map(F.lit("portid"), F.when(k % 7 != 0, k.cast("string")), F.lit("date"), date, F.lit("portcalls"), calls)
-    raw = v.table(spark, sf, "orders").groupBy(F.pmod(k, F.lit(50))).agg(F.to_json(F.struct(F.collect_list(F.struct(attributes.alias("attributes"))).alias("features"))).alias("value"))
+    raw = v.table(spark, sf, "orders").groupBy(F.floor(k / PAYLOAD_ROWS)).agg(F.to_json(F.struct(F.collect_list(F.struct(attributes.alias("attributes"))).alias("features"))).alias("value"))
     return ps.arcgis_features(raw, {"port_id": ("portid", "bigint"), "activity_date": ("date", "date"), "portcalls": ("portcalls", "int")}, ["port_id", "activity_date"])
 
 
@@ -75,18 +68,11 @@ def parse_arcgis_features(spark: SparkSession, sf: str) -> DataFrame:
 def parse_census_matrix(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
     row = F.array(k.cast("string"), F.when(k % 4 == 0, F.lit("-")).otherwise(F.col("s_acctbal").cast("string")), F.lit("again"))
-    rows = v.table(spark, sf, "supplier").groupBy(F.pmod(k, F.lit(5))).agg(F.collect_list(row).alias("r"))
+    rows = v.table(spark, sf, "supplier").groupBy(F.floor(k / PAYLOAD_ROWS)).agg(F.collect_list(row).alias("r"))
     raw = rows.select(F.to_json(F.concat(F.array(F.array(F.lit("code"), F.lit("value"), F.lit("value"))), "r")).alias("value"))
     return ps.census_matrix(raw, {"code": "bigint", "value": "double", "absent": "double"})
 
 
-@query("parse_oil_trade_csv", "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'A' THEN l_quantity END AS quantity_ktonnes, CASE WHEN l_returnflag = 'N' THEN l_quantity * 1000 END AS quantity_barrels FROM lineitem WHERE l_returnflag <> 'R' AND l_linenumber <> 3")
-def parse_oil_trade_csv(spark: SparkSession, sf: str) -> DataFrame:
-    unit = F.when(F.col("l_returnflag") == "A", "KTONS").when(F.col("l_returnflag") == "N", "KBBL").otherwise("TJ")
-    raw = v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", unit.alias("unit"), F.when(F.col("l_linenumber") == 3, "x").otherwise(F.col("l_quantity").cast("string")).alias("value"))
-    return ps.route_units(raw).drop("unit", "value")
-
-
 @query("decode_jsonstat", "SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS geo, CASE WHEN n_nationkey % 2 = 0 THEN 'in' ELSE 'out' END AS direction, CAST(n_regionkey AS DOUBLE) AS obs FROM nation")
 def decode_jsonstat(spark: SparkSession, sf: str) -> DataFrame:
     n = v.table(spark, sf, "nation")
@@ -107,49 +93,14 @@ def last_vintage_wide(spark: SparkSession, sf: str) -> DataFrame:
     return raw.select("c_custkey", ps.last_vintage(raw, ["v1", "v2", "v3"]).alias("value"))
 
 
-@query("parse_storm_csv", "SELECT c_custkey, (c_custkey % 90) * CASE c_custkey % 3 WHEN 0 THEN 0.001 WHEN 1 THEN 1 ELSE 1000 END AS damage_musd FROM customer")
-def parse_storm_csv(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("c_custkey")
-    text = F.concat((k % 90).cast("string"), F.when(k % 3 == 0, ".00K").when(k % 3 == 1, "M").otherwise(".0B"))
-    return v.table(spark, sf, "customer").select("c_custkey", text.alias("t")).select("c_custkey", ps.damage_musd(F.col("t")).alias("damage_musd"))
-
-
-@query("parse_sanctions_csv", "SELECT c_custkey, CASE WHEN (9 * 7 + d2 * 6 + d3 * 5 + d4 * 4 + d5 * 3 + d6 * 2) % 10 = d7 THEN n END AS imo FROM (SELECT c_custkey, n, n // 100000 % 10 AS d2, n // 10000 % 10 AS d3, n // 1000 % 10 AS d4, n // 100 % 10 AS d5, n // 10 % 10 AS d6, n % 10 AS d7 FROM (SELECT c_custkey, 9000000 + c_custkey AS n FROM customer))")
-def parse_sanctions_csv(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.concat(F.lit("Vessel; IMO "), (F.col("c_custkey") + 9_000_000).cast("string"), F.lit("; -0-"))
-    return v.table(spark, sf, "customer").select("c_custkey", ps.imo_number(text).alias("imo"))
-
-
-@query("parse_freight_index", "SELECT DISTINCT CAST(date_trunc('week', o_orderdate) AS DATE) AS monday FROM orders")
-def parse_freight_index(spark: SparkSession, sf: str) -> DataFrame:
-    d = F.col("o_orderdate")
-    year = F.year(F.date_add(F.trunc(d, "week"), 3))
-    return v.table(spark, sf, "orders").select(ps.iso_week_monday(F.concat(year.cast("string"), F.lit("-"), F.weekofyear(d).cast("string"))).alias("monday")).distinct()
-
-
 @query("zip_hourly_arrays", "SELECT date_trunc('day', ts) AS timestamp, NULL::DOUBLE AS v, count(*) AS n FROM events GROUP BY 1")
 def zip_hourly_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    e = v.table(spark, sf, "events").withColumn("day", F.date_trunc("day", "ts"))
-    hourly = e.groupBy("day").agg(F.collect_list(stamp("ts")).alias("time"), F.slice(F.collect_list("value"), 1, 0).alias("v"))
+    e = v.table(spark, sf, "events").withColumn("block", F.floor(F.col("event_id") / PAYLOAD_ROWS))
+    hourly = e.groupBy("block", F.date_trunc("day", "ts")).agg(F.collect_list(stamp("ts")).alias("time"), F.slice(F.collect_list("value"), 1, 0).alias("v"))
     rows = ps.zip_hours(hourly.select(F.to_json(F.struct(F.struct("time", "v").alias("hourly"))).alias("value")), ["v"])
     return rows.groupBy(F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("timestamp")).agg(F.max("v").alias("v"), F.count("*").alias("n"))
 
 
-@query("pivot_price_codes", "SELECT CAST(o_orderdate AS DATE) AS price_date, arg_max(o_totalprice, o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS brent, arg_max(o_totalprice, o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS wti FROM orders GROUP BY 1")
-def pivot_price_codes(spark: SparkSession, sf: str) -> DataFrame:
-    of = lambda s: F.max(F.when(F.col("o_orderstatus") == s, F.struct("o_orderkey", "o_totalprice")))["o_totalprice"]
-    return v.table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("price_date")).agg(of("F").alias("brent"), of("O").alias("wti"))
-
-
-@query("unify_metrics", "SELECT o_orderpriority AS period, 'orders' AS metric, 'ALL' AS category, count(*) AS value FROM orders GROUP BY 1 UNION ALL SELECT o_orderpriority, 'status', CASE WHEN o_orderstatus = 'P' THEN 'ALL' ELSE o_orderstatus END, count(*) FROM orders GROUP BY 1, 3")
-def unify_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    o = v.table(spark, sf, "orders")
-    a = o.groupBy(F.col("o_orderpriority").alias("period")).agg(F.count("*").alias("value")).withColumn("metric", F.lit("orders"))
-    b = o.withColumn("category", F.when(F.col("o_orderstatus") == "P", "  ").otherwise(F.col("o_orderstatus"))).groupBy(F.col("o_orderpriority").alias("period"), "category").agg(F.count("*").alias("value")).withColumn("metric", F.lit("status"))
-    out = a.unionByName(b, allowMissingColumns=True)
-    return out.select("period", "metric", F.coalesce(ps.blank_to_null(F.col("category")), F.lit("ALL")).alias("category"), "value")
-
-
 @query("union_trade_flows", "SELECT l_orderkey, l_linenumber, 'M' AS flow_code, NULL AS export_origin FROM lineitem WHERE l_linestatus = 'F' UNION ALL SELECT l_orderkey, l_linenumber, 'X', CASE WHEN l_returnflag = 'N' THEN 'domestic' ELSE 'foreign' END FROM lineitem WHERE l_linestatus = 'O'")
 def union_trade_flows(spark: SparkSession, sf: str) -> DataFrame:
     lines = v.table(spark, sf, "lineitem")
@@ -163,7 +114,7 @@ def filter_country_partners(spark: SparkSession, sf: str) -> DataFrame:
     return v.table(spark, sf, "customer").select("c_custkey", F.lpad(F.col("c_custkey").cast("string"), 4, "0").alias("code")).where(F.col("code").rlike("^[1-9][0-9]{3}$"))
 
 
-@query("parse_html_tables")
-def parse_html_tables(spark: SparkSession, sf: str) -> DataFrame:
+@query("page_cells")
+def page_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of the pages; nested and broken markup has no SQL form, so a small fixture tests it."""
     return ps.html_cells(v.table(spark, sf, "pages").select("page_id", "html"), "html")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import disruption, explore, ingest, live, models, monitoring, nowcasts, panels, parsers, prices, seasons, shifts, streams, tables, vessels, warnings
+from . import disruption, explore, files, ingest, live, models, monitoring, nowcasts, panels, parsers, prices, seasons, shifts, streams, tables, vessels, warnings
 
-MODULES = (vessels, panels, monitoring, explore, ingest, streams, models, warnings, disruption, seasons, shifts, tables, parsers, nowcasts, prices, live)
+MODULES = (vessels, panels, monitoring, explore, ingest, streams, models, warnings, disruption, seasons, shifts, tables, parsers, nowcasts, prices, live, files)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
