@@ -162,15 +162,16 @@ def forecast_panel(spark: SparkSession, sf: str) -> DataFrame:
 METRICS = {"calls": "calls", "tanker": "calls", "imports": "imports", "exports": "imports"}
 LEAST = {"calls": 0.5, "imports": 5.0}
 SHOCK, PAIRS = (1999, 2000), [(1996, 1997), (1997, 1998), (1998, 1999)]
+NAME = "1999-2000"
 LEVELS = """sw AS (SELECT port_id, CAST(extract(year FROM activity_date) AS INT) AS year, CAST(sum(portcalls) AS DOUBLE) AS calls, CAST(sum(portcalls_tanker) AS DOUBLE) AS tanker, sum(import_total) AS imports, sum(export_total) AS exports, count(*) AS days FROM v_activity WHERE extract(month FROM activity_date) BETWEEN 2 AND 7 GROUP BY 1, 2),
 lv AS (""" + " UNION ALL ".join(f"SELECT port_id, year, '{m}' AS metric, {m} / (days / 7.0) AS weekly FROM sw WHERE days >= 0.95 * (SELECT max(days) FROM sw)" for m in METRICS) + ")"
-CHANGED = f"""pc AS (SELECT *, lr - quantile_cont(lr, 0.5) OVER (PARTITION BY pair, metric, band) AS effect FROM (SELECT a.port_id, a.metric, CAST(a.year AS VARCHAR) || '-' || CAST(b.year AS VARCHAR) AS pair, CASE WHEN s.weekly < 2.5 * l THEN 'small' WHEN s.weekly < 7.5 * l THEN 'medium' ELSE 'large' END AS band, a.weekly AS w0, b.weekly AS w1, ln((b.weekly + 1) / (a.weekly + 1)) AS lr
+CHANGED = f"""pc AS (SELECT *, lr - quantile_cont(lr, 0.5) OVER (PARTITION BY pair, metric, band) AS effect FROM (SELECT a.port_id, a.metric, CAST(a.year AS VARCHAR) || '-' || CAST(b.year AS VARCHAR) AS pair, CASE WHEN s.weekly < 2.5 * l THEN 'small' WHEN s.weekly < 7.5 * l THEN 'medium' ELSE 'large' END AS band, a.weekly AS weekly_before, b.weekly AS weekly_after, ln((b.weekly + 1) / (a.weekly + 1)) AS lr
   FROM lv a JOIN lv b ON b.port_id = a.port_id AND b.metric = a.metric AND b.year = a.year + 1 JOIN (VALUES {", ".join(f"('{m}', '{s}', {LEAST[s]})" for m, s in METRICS.items())}) t(metric, size_metric, l) ON t.metric = a.metric JOIN lv s ON s.port_id = a.port_id AND s.year = a.year AND s.metric = t.size_metric WHERE s.weekly >= l AND a.year BETWEEN 1996 AND 1999))"""
-FLAGGED = """bn AS (SELECT metric, band, max(effect) FILTER (WHERE r = 1 + CAST(round(0.025 * (n - 1)) AS BIGINT)) AS lo, max(effect) FILTER (WHERE r = 1 + CAST(round(0.975 * (n - 1)) AS BIGINT)) AS hi FROM (SELECT *, row_number() OVER (PARTITION BY metric, band ORDER BY effect) AS r, count(*) OVER (PARTITION BY metric, band) AS n FROM pc WHERE pair <> '1999-2000') GROUP BY 1, 2),
-fs AS (SELECT p.port_id, p.metric, p.band, p.w0, p.w1, p.effect, bn.lo, bn.hi, o.own_max, o.own_n, p.effect < bn.lo OR p.effect > bn.hi AS outside_band, (p.effect < bn.lo OR p.effect > bn.hi) AND abs(p.effect) > coalesce(o.own_max, 0) AS flagged, (exp(p.effect) - 1) * 100 AS pct
-  FROM pc p LEFT JOIN bn ON bn.metric = p.metric AND bn.band = p.band LEFT JOIN (SELECT port_id, metric, max(abs(effect)) AS own_max, count(*) AS own_n FROM pc WHERE pair <> '1999-2000' GROUP BY 1, 2) o ON o.port_id = p.port_id AND o.metric = p.metric WHERE p.pair = '1999-2000')"""
+FLAGGED = """bn AS (SELECT metric, band, max(effect) FILTER (WHERE r = 1 + CAST(round(0.025 * (n - 1)) AS BIGINT)) AS usual_low, max(effect) FILTER (WHERE r = 1 + CAST(round(0.975 * (n - 1)) AS BIGINT)) AS usual_high FROM (SELECT *, row_number() OVER (PARTITION BY metric, band ORDER BY effect) AS r, count(*) OVER (PARTITION BY metric, band) AS n FROM pc WHERE pair <> '1999-2000') GROUP BY 1, 2),
+fs AS (SELECT p.port_id, p.metric, p.band, p.weekly_before, p.weekly_after, p.effect, usual_low, usual_high, port_extreme, coalesce(port_pairs, 0) AS port_pairs, p.effect NOT BETWEEN usual_low AND usual_high AS beyond_usual, p.effect NOT BETWEEN usual_low AND usual_high AND abs(p.effect) > coalesce(port_extreme, 0) AS flagged, (exp(p.effect) - 1) * 100 AS percent
+  FROM pc p LEFT JOIN bn ON bn.metric = p.metric AND bn.band = p.band LEFT JOIN (SELECT port_id, metric, max(abs(effect)) AS port_extreme, count(*) AS port_pairs FROM pc WHERE pair <> '1999-2000' GROUP BY 1, 2) o ON o.port_id = p.port_id AND o.metric = p.metric WHERE p.pair = '1999-2000')"""
 #: A box of latitudes and longitudes that is a group of its own, and reasons other than the shock, by port name or country code.
-BOX, BY_NAME, BY_ISO = (-30.0, 30.0, -60.0, 60.0), {"NATION_3": "strike", "NATION_8": "new terminal"}, {"NAT": "sanctions"}
+BOXES, REASONS = {"Red Sea": (-30.0, 30.0, -60.0, 60.0)}, [("port_name", {"NATION_3": "strike", "NATION_8": "new terminal"}), ("iso3", {"NAT": "sanctions"})]
 GROUPS = """gl AS (SELECT port_id, CASE WHEN latitude BETWEEN -30 AND 30 AND longitude BETWEEN -60 AND 60 THEN 'Red Sea' ELSE continent END AS "group", coalesce(CASE port_name WHEN 'NATION_3' THEN 'strike' WHEN 'NATION_8' THEN 'new terminal' END, CASE upper(substr(port_name, 1, 3)) WHEN 'NAT' THEN 'sanctions' END) AS confounder FROM v_profiles)"""
 PORTS = (ACTIVITY, LEVELS, CHANGED)
 
@@ -192,21 +193,20 @@ def changed(spark: SparkSession, sf: str, pairs: list[tuple[int, int]]) -> DataF
 
 @query("flag_shifts", with_views("SELECT * FROM fs", *PORTS, FLAGGED))
 def flag_shifts(spark: SparkSession, sf: str) -> DataFrame:
-    return ps.flag_shifts(changed(spark, sf, [SHOCK]), changed(spark, sf, PAIRS))
+    return ps.flag_shifts(changed(spark, sf, [SHOCK, *PAIRS]), NAME)
 
 
-@query("flag_counts", with_views("SELECT metric, count(*) AS ports, count(*) FILTER (WHERE outside_band) AS outside_band, count(*) * 0.05 AS expected_by_chance, count(*) FILTER (WHERE flagged) AS flagged, count(*) FILTER (WHERE flagged AND effect > 0) AS gained, count(*) FILTER (WHERE flagged AND effect < 0) AS lost FROM fs GROUP BY 1", *PORTS, FLAGGED))
+@query("flag_counts", with_views("SELECT metric, count(*) AS ports, count(*) FILTER (WHERE beyond_usual) AS outside_band, count(*) * 0.05 AS expected_by_chance, count(*) FILTER (WHERE flagged) AS flagged, count(*) FILTER (WHERE flagged AND effect > 0) AS gained, count(*) FILTER (WHERE flagged AND effect < 0) AS lost FROM fs GROUP BY 1", *PORTS, FLAGGED))
 def flag_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ps.flag_counts(flag_shifts(spark, sf))
 
 
 @query("label_groups", with_views('SELECT * FROM gl', PROFILES, GROUPS))
 def label_groups(spark: SparkSession, sf: str) -> DataFrame:
-    return ps.label_groups(v.profiles(spark, sf).withColumn("iso3", F.upper(F.substring("port_name", 1, 3))), BOX, BY_NAME, BY_ISO).select("port_id", "group", "confounder")
+    return ps.label_groups(v.profiles(spark, sf).withColumn("iso3", F.upper(F.substring("port_name", 1, 3))), BOXES, REASONS).select("port_id", "group", "confounder")
 
 
-@query("group_effects", with_views("""SELECT s.*, p.n_pairs, p.noise, s.mean / p.noise AS z FROM (SELECT "group", metric, avg(effect) AS mean, count(*) AS ports FROM pc JOIN gl USING (port_id) WHERE pair = '1999-2000' GROUP BY 1, 2) s
- LEFT JOIN (SELECT "group", metric, count(*) AS n_pairs, sqrt(avg(m * m)) AS noise FROM (SELECT "group", metric, pair, avg(effect) AS m FROM pc JOIN gl USING (port_id) WHERE pair <> '1999-2000' GROUP BY 1, 2, 3) GROUP BY 1, 2) p ON p."group" = s."group" AND p.metric = s.metric""", ACTIVITY, PROFILES, LEVELS, CHANGED, GROUPS))
+@query("group_effects", with_views("""SELECT s.*, coalesce(p.pairs, 0) AS pairs, p.noise, s.mean / p.noise AS z FROM (SELECT "group", metric, avg(effect) AS mean, count(*) AS ports FROM pc JOIN gl USING (port_id) WHERE pair = '1999-2000' GROUP BY 1, 2) s
+ LEFT JOIN (SELECT "group", metric, count(*) AS pairs, sqrt(avg(m * m)) AS noise FROM (SELECT "group", metric, pair, avg(effect) AS m FROM pc JOIN gl USING (port_id) WHERE pair <> '1999-2000' GROUP BY 1, 2, 3) GROUP BY 1, 2) p ON p."group" = s."group" AND p.metric = s.metric""", ACTIVITY, PROFILES, LEVELS, CHANGED, GROUPS))
 def group_effects(spark: SparkSession, sf: str) -> DataFrame:
-    groups = label_groups(spark, sf)
-    return ps.group_effects(changed(spark, sf, [SHOCK]).join(groups, "port_id"), changed(spark, sf, PAIRS).join(groups, "port_id"))
+    return ps.group_effects(changed(spark, sf, [SHOCK, *PAIRS]).join(label_groups(spark, sf), "port_id"), NAME)

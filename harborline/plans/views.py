@@ -92,12 +92,11 @@ v_profiles AS (SELECT CAST(n_nationkey AS BIGINT) AS port_id, n_name AS port_nam
 
 
 def hazards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hazard events: one in 200 orders, with place, alert level and dates."""
+    """Hazard events, one for each order, with place, alert level and dates."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     kind = F.element_at(F.array(*map(F.lit, ("TC", "FL", "EQ", "DR"))), (F.pmod(c, F.lit(4)) + 1).cast("int"))
     alert = F.when(F.pmod(k, F.lit(7)) == 0, "RED").when(F.pmod(k, F.lit(3)) == 0, "ORANGE").otherwise("GREEN")
-    out = table(spark, sf_dir, "orders").where(F.pmod(F.col("o_orderkey"), F.lit(200)) == 11)
-    return out.select(k.alias("event_id"), kind.alias("event_type"), alert.alias("alert_level"), F.to_date("o_orderdate").alias("from_date"), F.date_add(F.to_date("o_orderdate"), F.pmod(c, F.lit(10)).cast("int")).alias("to_date"), (F.pmod(c * 29, F.lit(140)) - 70).cast("double").alias("latitude"), (F.pmod(c * 53, F.lit(360)) - 180).cast("double").alias("longitude"), F.pmod(c, F.lit(25)).alias("listed_port"))
+    return table(spark, sf_dir, "orders").select(k.alias("event_id"), kind.alias("event_type"), alert.alias("alert_level"), F.to_date("o_orderdate").alias("from_date"), F.date_add(F.to_date("o_orderdate"), F.pmod(c, F.lit(10)).cast("int")).alias("to_date"), (F.pmod(c * 29, F.lit(140)) - 70).cast("double").alias("latitude"), (F.pmod(c * 53, F.lit(360)) - 180).cast("double").alias("longitude"), F.pmod(c, F.lit(25)).alias("listed_port"))
 
 
 HAZARDS = """
@@ -105,7 +104,7 @@ v_events AS (SELECT o_orderkey AS event_id, ['TC', 'FL', 'EQ', 'DR'][CAST(o_cust
     CASE WHEN o_orderkey % 7 = 0 THEN 'RED' WHEN o_orderkey % 3 = 0 THEN 'ORANGE' ELSE 'GREEN' END AS alert_level,
     CAST(o_orderdate AS DATE) AS from_date, CAST(o_orderdate AS DATE) + CAST(o_custkey % 10 AS INT) AS to_date,
     CAST((o_custkey * 29) % 140 - 70 AS DOUBLE) AS latitude, CAST((o_custkey * 53) % 360 - 180 AS DOUBLE) AS longitude, o_custkey % 25 AS listed_port
-  FROM orders WHERE o_orderkey % 200 = 11)"""
+  FROM orders)"""
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
