@@ -97,11 +97,34 @@ def weekly_wide(spark: SparkSession, sf: str) -> DataFrame:
     return t.groupBy("week_start").agg(*[F.avg(F.when(F.col("chokepoint_id") == s, F.col("n_total"))).alias(f"s{i}") for i, s in enumerate(STRAITS)])
 
 
-@query("pct_change_corr", with_views("SELECT corr(c0, c1) AS r01, corr(c0, c2) AS r02, corr(c1, c2) AS r12 FROM (SELECT s0 - lag(s0) OVER w AS c0, s1 - lag(s1) OVER w AS c1, s2 - lag(s2) OVER w AS c2 FROM wide WINDOW w AS (ORDER BY week_start))", TRANSITS, WIDE))
+PAIRED = [(i, j) for i in range(len(STRAITS)) for j in range(i + 1, len(STRAITS))]
+MOVES = f"""mv0 AS (SELECT week_start, {", ".join(f"s{i} / nullif(lag(s{i}) OVER (ORDER BY week_start), 0) - 1 AS c{i}" for i in range(len(STRAITS)))} FROM wide),
+mv1 AS (SELECT * FROM mv0 WHERE {" AND ".join(f"c{i} IS NOT NULL" for i in range(len(STRAITS)))}),
+mv AS ({" UNION ALL ".join(f"SELECT '{STRAITS[i]}' AS a, '{STRAITS[j]}' AS b, week_start, c{i} AS x, c{j} AS y FROM mv1" for i, j in PAIRED)}),
+mvr AS (SELECT *, rank() OVER (PARTITION BY a, b ORDER BY x) + (count(*) OVER (PARTITION BY a, b, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY a, b ORDER BY y) + (count(*) OVER (PARTITION BY a, b, y) - 1) / 2.0 AS ry,
+  row_number() OVER (PARTITION BY a, b ORDER BY abs(x) + abs(y) DESC, week_start) AS extreme FROM mv)"""
+
+
+@query("pct_change_corr", with_views("SELECT a, b, count(*) AS weeks, corr(x, y) AS pearson, corr(rx, ry) AS spearman, corr(x, y) FILTER (WHERE extreme > 2) AS trimmed FROM mvr GROUP BY 1, 2", TRANSITS, WIDE, MOVES))
 def pct_change_corr(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.orderBy("week_start")  # a row per calendar week
-    d = weekly_wide(spark, sf).select(*[(F.col(f"s{i}") - F.lag(f"s{i}").over(w)).alias(f"c{i}") for i in range(3)])
-    return d.agg(F.corr("c0", "c1").alias("r01"), F.corr("c0", "c2").alias("r02"), F.corr("c1", "c2").alias("r12"))
+    """Which straits move together: correlations of weekly changes in percent, of their ranks, and without a pair's two most extreme weeks.
+
+    Weeks in which any strait has no change to compare are left out of all pairs.
+    """
+    names, w = [f"c{i}" for i in range(len(STRAITS))], Window.orderBy("week_start")  # a row per calendar week
+    moves = weekly_wide(spark, sf).select("week_start", *[(safe_ratio(F.col(f"s{i}"), F.lag(f"s{i}").over(w)) - 1).alias(c) for i, c in enumerate(names)]).dropna(subset=names)
+    pairs = F.array(*[F.struct(F.lit(STRAITS[i]).alias("a"), F.lit(STRAITS[j]).alias("b"), F.col(names[i]).alias("x"), F.col(names[j]).alias("y")) for i, j in PAIRED])
+    each = moves.select("week_start", F.explode(pairs).alias("p")).select("week_start", "p.*")
+    return paired_correlations(each, ["a", "b"], "week_start")
+
+
+def paired_correlations(df: DataFrame, by: list[str], tie: str, drop: int = 2) -> DataFrame:
+    """Pearson's and Spearman's correlation of x and y by group (equal values share their mean rank), and Pearson's without the ``drop`` rows of largest |x| + |y|."""
+    own = Window.partitionBy(*by)
+    mean_rank = lambda c: F.rank().over(own.orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2
+    ranked = df.withColumns({"rx": mean_rank("x"), "ry": mean_rank("y"), "extreme": F.row_number().over(own.orderBy((F.abs("x") + F.abs("y")).desc(), tie))})
+    calm = lambda c: F.when(F.col("extreme") > drop, F.col(c))
+    return ranked.groupBy(*by).agg(F.count("*").alias("weeks"), F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"), F.corr(calm("x"), calm("y")).alias("trimmed"))
 
 
 @query("area_calls_per_week", with_views("SELECT CASE WHEN longitude < -30 THEN 'west' WHEN longitude < 60 THEN 'middle' ELSE 'east' END AS area, CAST(date_trunc('month', activity_date) AS DATE) AS month, sum(portcalls) / count(DISTINCT date_trunc('week', activity_date)) AS calls_per_week FROM v_activity JOIN v_profiles USING (port_id) GROUP BY 1, 2", ACTIVITY, PROFILES))
@@ -118,10 +141,24 @@ def vessel_groups(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy(group.alias("vessel_group")).agg(F.count_distinct(F.coalesce("imo", "mmsi")).alias("vessels"), F.count("*").alias("reports"))
 
 
-@query("speed_profile", with_views("SELECT CAST(least(floor(sog / 5), 20) AS BIGINT) AS bin, count(*) AS n, quantile_cont(sog, 0.5) AS median FROM v_positions WHERE sog BETWEEN 0 AND 102.2 GROUP BY 1", POSITIONS))
+SPEEDS = """sp0 AS (SELECT sog, CASE WHEN regexp_matches(vessel_type, 'MACH|AUTO') THEN 'cargo' WHEN vessel_type LIKE '%BUILD%' THEN 'tanker' ELSE 'other' END AS vessel_group FROM v_positions p LEFT JOIN reg r ON r.imo = p.imo WHERE sog BETWEEN 0 AND 30),
+spq AS (SELECT vessel_group, count(*) AS n, avg(sog) AS mean, quantile_cont(sog, 0.25) AS q1, quantile_cont(sog, 0.5) AS median, quantile_cont(sog, 0.75) AS q3 FROM sp0 WHERE sog >= 0.5 GROUP BY 1)"""
+
+
+@query("speed_profile", with_views("""SELECT 'histogram' AS kind, NULL AS vessel_group, least(floor(sog / 0.5) * 0.5, 29.5) AS bin, count(*) AS n, avg(sog) AS mean, NULL::DOUBLE AS q1, NULL::DOUBLE AS median, NULL::DOUBLE AS q3, NULL::DOUBLE AS low, NULL::DOUBLE AS high FROM sp0 GROUP BY 3
+ UNION ALL SELECT 'box', q.vessel_group, NULL, any_value(q.n), any_value(q.mean), any_value(q1), any_value(median), any_value(q3), min(sog) FILTER (WHERE sog >= q1 - 1.5 * (q3 - q1)), max(sog) FILTER (WHERE sog <= q3 + 1.5 * (q3 - q1)) FROM spq q JOIN sp0 s ON s.vessel_group = q.vessel_group AND sog >= 0.5 GROUP BY q.vessel_group""", POSITIONS, VESSELS, REGISTER, SPEEDS))
 def speed_profile(spark: SparkSession, sf: str) -> DataFrame:
-    p = v.positions(spark, sf).where("sog BETWEEN 0 AND 102.2")
-    return p.groupBy(F.least(F.floor(F.col("sog") / 5), F.lit(20)).alias("bin")).agg(F.count("*").alias("n"), F.percentile("sog", F.lit(0.5)).alias("median"))
+    """Possible speeds in half knots, and boxes of moving ships by group with whiskers at 1.5 quartile ranges."""
+    group = F.when(F.col("vessel_type").rlike("MACH|AUTO"), "cargo").when(F.col("vessel_type").contains("BUILD"), "tanker").otherwise("other")
+    p = v.positions(spark, sf).where("sog BETWEEN 0 AND 30").select("imo", "sog").join(register(spark, sf).select("imo", "vessel_type"), "imo", "left").select("sog", group.alias("vessel_group"))
+    bars = p.groupBy(F.least(F.floor(F.col("sog") / 0.5) * 0.5, F.lit(29.5)).alias("bin")).agg(F.count("*").alias("n"), F.avg("sog").alias("mean")).withColumn("kind", F.lit("histogram"))
+    moving = p.where("sog >= 0.5")
+    boxes = moving.groupBy("vessel_group").agg(F.count("*").alias("n"), F.avg("sog").alias("mean"), *[F.percentile("sog", F.lit(q)).alias(c) for c, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    ends = moving.join(F.broadcast(boxes), "vessel_group").groupBy("vessel_group").agg(F.min(F.when(F.col("sog") >= F.col("q1") - reach, F.col("sog"))).alias("low"), F.max(F.when(F.col("sog") <= F.col("q3") + reach, F.col("sog"))).alias("high"))
+    box = boxes.join(ends, "vessel_group").withColumn("kind", F.lit("box"))
+    columns = ["kind", "vessel_group", "bin", "n", "mean", "q1", "median", "q3", "low", "high"]
+    return box.unionByName(bars, allowMissingColumns=True).select(columns)
 
 
 @query("latest_snapshot", with_views("SELECT event_id, partition_date FROM v_positions WHERE partition_date = (SELECT max(partition_date) FROM v_positions)", POSITIONS))
