@@ -209,11 +209,17 @@ def _cooldown(key, frame):  # noqa: ANN001, ANN202
     return frame[keep]
 
 
-@query("alert_cooldown")
+SLOW = """slow AS (SELECT source, run_id, collection_ts, row_number() OVER (PARTITION BY source ORDER BY collection_ts, run_id) AS i FROM (SELECT *, CASE WHEN stddev_pop(duration_ms) OVER w > 0 THEN (duration_ms - avg(duration_ms) OVER w) / stddev_pop(duration_ms) OVER w END AS z
+  FROM v_runs WINDOW w AS (PARTITION BY source ORDER BY collection_ts, run_id ROWS UNBOUNDED PRECEDING)) WHERE z > 2),
+fired AS (SELECT source, i FROM slow WHERE i = 1 UNION ALL SELECT source, n FROM (SELECT f.source, (SELECT min(s.i) FROM slow s WHERE s.source = f.source AND s.collection_ts >= (SELECT collection_ts FROM slow o WHERE o.source = f.source AND o.i = f.i) + INTERVAL 1 DAY) AS n FROM fired f) WHERE n IS NOT NULL)"""
+
+
+@query("alert_cooldown", with_views(" SELECT source, run_id, collection_ts FROM slow JOIN fired USING (source, i)", RUNS, SLOW).replace("WITH", "WITH RECURSIVE", 1))
 def alert_cooldown(spark: SparkSession, sf: str) -> DataFrame:
     """Sequential by nature: whether an alert fires depends on the last that did, as long as alerts are less than a day apart.
 
-    A gap of a day starts anew, so groups are a source's alerts between two such gaps.
+    A gap of a day starts anew, so groups are a source's alerts between two such gaps;
+    the windows run over a source's own runs, a row for each time it was collected.
     """
     alerts = duration_anomaly(spark, sf).join(v.runs(spark, sf).select("run_id", "collection_ts"), "run_id").select("source", "run_id", "collection_ts")
     gap = F.expr("collection_ts - lag(collection_ts) OVER (PARTITION BY source ORDER BY collection_ts, run_id) >= INTERVAL 1 DAY")

@@ -143,6 +143,7 @@ def stream_alert_cooldown(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["stream_alert_cooldown"] = stream_alert_cooldown
+ORACLE_SQL["stream_alert_cooldown"] = v.with_views(" SELECT source, epoch_us(collection_ts) / 1e6 AS at, run_id AS alert_id FROM slow JOIN fired USING (source, i)", v.RUNS, monitoring.SLOW).replace("WITH", "WITH RECURSIVE", 1)
 
 
 def stream_volume_anomaly(spark: SparkSession, sf: str) -> DataFrame:
