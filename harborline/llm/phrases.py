@@ -25,8 +25,10 @@ that exchange serves the three passes over them.
 
 Defined results: a null or empty text has no words, and the digest of nothing;
 texts shorter than a window stay whole; very long texts are read to their end, in
-one part; rows without an id lose nothing and count for nothing; rows that repeat id and text get the same result each; an
-empty table gives no rows; other columns are not read.
+one part; rows without an id lose nothing and count for nothing; rows that repeat
+id and text get the same result each; rows that repeat an id with other text are
+documents of their own, in the order of a hash of their texts; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,11 +49,15 @@ WINDOW, PHRASE = 20, 6
 SHARD_BYTES, PART_BYTES = 12 << 20, 3 << 20
 
 
+#: What a row is known by: its id and a hash of its text.
+ROW = ["doc_id", "h"]
+
+
 def later_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy=true) of documents whose whole text a smaller id has too."""
-    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("sha"))
+    """(doc_id, h) of rows whose whole text a smaller id has too."""
+    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(*ROW, F.sha2("text", 256).alias("sha"))
     first = keyed.groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
-    return keyed.join(first, "sha").where("doc_id > first_id").select("doc_id").distinct().withColumn("copy", F.lit(True))
+    return keyed.join(first, "sha").where("doc_id > first_id").select(*ROW).distinct()
 
 
 def hashed(texts: pa.Array) -> tuple[Words, np.ndarray, list[bytes], np.ndarray]:
@@ -70,9 +76,17 @@ def chosen(w: Words, phrase: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(part: pa.Table, side: pa.Table) -> Iterator[pa.RecordBatch]:
     """The documents of a part that take part in the search, a few MB at a time."""
-    copies = pa.array([i for own in side["copies"].to_pylist() for i in own or ()], pa.int64())
-    part = part.filter(pa.compute.invert(pa.compute.is_in(part["doc_id"], copies)))
-    yield from text_parts(iter(part.select(["doc_id", "text"]).to_batches()), PART_BYTES)
+    copies = copied_rows(side)
+    part = part.filter(pa.array([row not in copies for row in rows_of(part)], pa.bool_()))
+    yield from text_parts(iter(part.select([*ROW, "text"]).to_batches()), PART_BYTES)
+
+
+def rows_of(part: pa.Table) -> list[tuple[int, int]]:
+    return list(zip(*(part[c].to_pylist() for c in ROW), strict=True))
+
+
+def copied_rows(side: pa.Table) -> set[tuple[int, int]]:
+    return {(x["doc_id"], x["h"]) for own in side["copies"].to_pylist() for x in own or ()}
 
 
 def find_phrases(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
@@ -132,22 +146,22 @@ class Automaton:
         return marks
 
 
-RUNS = "key long, part int, doc_id long, start int, length int, hashes array<long>, checks array<long>"
+RUNS = "key long, part int, doc_id long, h long, start int, length int, hashes array<long>, checks array<long>"
 
 
 def find_windows(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
     """Runs of windows: those still open with their hashes, by the phrase that they share; settled ones by length."""
     automaton = Automaton([p for own in side["phrases"].to_pylist() for p in own or ()])
     out = [open_runs(batch, automaton) for batch in slices(part, side)]
-    keys, ids, starts, length, offsets, hashes, checks, done = (np.concatenate(x) if out else np.zeros(0, np.int64) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 8
+    keys, ids, marks, starts, length, offsets, hashes, checks, done = (np.concatenate(x) for x in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 9
     ends = np.concatenate([[0], np.cumsum(offsets)]).astype(np.int32)
     lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x.view(np.int64)), mask=pa.array(done.astype(bool))) for x in (hashes, checks)]
     own = pa.array([key[0].as_py()] * len(keys), pa.int32())
-    return pa.table({"key": pa.array(keys.view(np.int64)), "part": own, "doc_id": pa.array(ids), "start": pa.array(starts.astype(np.int32)), "length": pa.array(length.astype(np.int32)), "hashes": lists[0], "checks": lists[1]})
+    return pa.table({"key": pa.array(keys.view(np.int64)), "part": own, "doc_id": pa.array(ids), "h": pa.array(marks), "start": pa.array(starts.astype(np.int32)), "length": pa.array(length.astype(np.int32)), "hashes": lists[0], "checks": lists[1]})
 
 
 def open_runs(batch: pa.RecordBatch, automaton: Automaton) -> tuple[np.ndarray, ...]:
-    """(key, doc_id, start, length, open windows, their hashes, their second hashes, is settled) of a batch's runs of candidates."""
+    """(key, doc_id, h, start, length, open windows, their hashes, their second hashes, is settled) of a batch's runs of candidates."""
     w, which, distinct, values = hashed(batch.column("text"))
     phrase = mix(rolling(values, PHRASE))
     starts, place = chosen(w, phrase)
@@ -155,38 +169,38 @@ def open_runs(batch: pa.RecordBatch, automaton: Automaton) -> tuple[np.ndarray,
     starts, place = starts[hit], place[hit]
     key, row = phrase[place], w.doc[starts]
     h, check = (mix(rolling(x, WINDOW)[starts]) if len(starts) else key for x in (values, mix(values)))
-    ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
+    ids, marks = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[row] for c in ROW)
     start = starts - w.first[row]
     # all but the earliest of the windows that are equal inside the batch are settled
-    order = np.lexsort((start, ids, check, h))
+    order = np.lexsort((start, marks, ids, check, h))
     later = np.zeros(len(h), bool)
     a, b = order[1:], order[:-1]
     later[a] = (h[a] == h[b]) & (check[a] == check[b])
-    # rows that repeat an id hold the same windows, none of them earlier
-    twin = later[a] & (ids[a] == ids[b]) & (start[a] == start[b])
+    # rows that repeat id and text hold the same windows, none of them earlier
+    twin = later[a] & (ids[a] == ids[b]) & (marks[a] == marks[b]) & (start[a] == start[b])
     for i in np.flatnonzero(twin):
         later[a[i]] = later[b[i]]
     new = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (later[1:] != later[:-1]) | (~later[1:] & (key[1:] != key[:-1]))]) if len(h) else later
     cut = np.flatnonzero(new)
     length = np.diff(np.append(cut, len(h)))
     done = later[cut]
-    keys = np.where(done, mix(mix(ids[cut].astype(np.uint64)) ^ start[cut].astype(np.uint64)), key[cut])
-    return keys, ids[cut], start[cut], length, np.where(done, 0, length), h[~later], check[~later], done
+    keys = np.where(done, mix(mix(ids[cut].astype(np.uint64) ^ mix(marks[cut].astype(np.uint64))) ^ start[cut].astype(np.uint64)), key[cut])
+    return keys, ids[cut], marks[cut], start[cut], length, np.where(done, 0, length), h[~later], check[~later], done
 
 
 def removed_runs(dealt: DataFrame, copies: DataFrame) -> DataFrame:
     """(part, runs): runs of windows that also start earlier."""
     phrases = confirmed_phrases(dealt, copies)
-    side = copies.withColumn("phrases", F.lit(None).cast("array<binary>")).unionByName(phrases.withColumn("copies", F.lit(None).cast("array<long>")))
+    side = copies.withColumn("phrases", F.lit(None).cast("array<binary>")).unionByName(phrases.withColumn("copies", F.lit(None).cast(copies.schema["copies"].dataType)))
     found = dealt.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(find_windows, RUNS)
     # equal windows share their phrase, so partitions by phrase hold all that the window below compares
     found = found.repartition("key")
-    each = found.select("key", "part", "doc_id", "start", "length", F.posexplode_outer(F.arrays_zip("hashes", "checks")).alias("at", "hash"))
+    each = found.select("key", "part", *ROW, "start", "length", F.posexplode_outer(F.arrays_zip("hashes", "checks")).alias("at", "hash"))
     each = each.withColumn("start", F.col("start") + F.coalesce("at", F.lit(0))).withColumn("length", F.when(F.col("at").isNull(), F.col("length")).otherwise(1))
-    place = F.struct("doc_id", "start")
+    place = F.struct(*ROW, "start")
     each = each.withColumn("earliest", F.min(place).over(Window.partitionBy("key", "hash")))
     out = each.where(F.col("at").isNull() | (place > F.col("earliest")))
-    return out.groupBy("part").agg(F.collect_list(F.struct("doc_id", "start", "length")).alias("runs"))
+    return out.groupBy("part").agg(F.collect_list(F.struct(*ROW, "start", "length")).alias("runs"))
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
@@ -207,23 +221,24 @@ def _table(ids: pa.Array, out: list[tuple]) -> pa.Table:
 
 def cut_out(key: tuple, part: pa.Table, side: pa.Table) -> pa.Table:
     """The documents of a part without their removed runs."""
-    copies = {i for own in side["copies"].to_pylist() for i in own or ()}
+    copies = copied_rows(side)
     runs = side["runs"].combine_chunks().flatten() if part.num_rows else None
-    by_doc: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    by_row: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     if runs is not None and len(runs):
-        ids, starts, lengths = (runs.field(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "start", "length"))
-        order = np.argsort(ids, kind="stable")
-        cut = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
-        for i, own in zip(ids[order][cut].tolist(), np.split(order, cut[1:]), strict=True):
-            by_doc[i] = starts[own], lengths[own]
+        ids, marks, starts, lengths = (runs.field(n).to_numpy(zero_copy_only=False) for n in (*ROW, "start", "length"))
+        order = np.lexsort((marks, ids))
+        ids, marks = ids[order], marks[order]
+        cut = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])]))
+        for i, h, own in zip(ids[cut].tolist(), marks[cut].tolist(), np.split(order, cut[1:]), strict=True):
+            by_row[i, h] = starts[own], lengths[own]
     out = []
-    for i, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
+    for i, text in zip(rows_of(part), part["text"].to_pylist(), strict=True):
         words, gone = (text or "").encode().split(), None
         if i in copies and len(words) >= WINDOW:
             gone = np.ones(len(words), bool)
-        elif i not in copies and i in by_doc:
+        elif i not in copies and i in by_row:
             marks = np.zeros(len(words) + 1, np.int32)
-            at, length = by_doc[i]
+            at, length = by_row[i]
             np.add.at(marks, at, 1)
             np.add.at(marks, at + length + WINDOW - 1, -1)
             gone = np.cumsum(marks[:-1]) > 0
@@ -242,13 +257,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_words, n_removed, kept_sha256, kept): documents without their repeated passages."""
     docs = id_and_text(docs, id_col, text_col)
     parts = max(1, math.ceil(total_bytes(docs) / SHARD_BYTES))
+    docs = docs.withColumn("h", F.xxhash64("text"))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part")
-    dealt = docs.where("doc_id IS NOT NULL").select("doc_id", "text", part).repartition(parts, "part")
-    copies = later_copies(docs).groupBy(part).agg(F.collect_list("doc_id").alias("copies"))
+    dealt = docs.where("doc_id IS NOT NULL").select(*ROW, "text", part).repartition(parts, "part")
+    copies = later_copies(docs).groupBy(part).agg(F.collect_list(F.struct(*ROW)).alias("copies"))
     runs = removed_runs(dealt, copies)
-    side = copies.withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)).unionByName(runs.withColumn("copies", F.lit(None).cast("array<long>")))
+    side = copies.withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)).unionByName(runs.withColumn("copies", F.lit(None).cast(copies.schema["copies"].dataType)))
     out = dealt.groupBy("part").cogroup(side.groupBy("part")).applyInArrow(cut_out, KEPT)
-    return out.unionByName(docs.where("doc_id IS NULL").mapInArrow(untouched, KEPT))
+    return out.unionByName(docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(untouched, KEPT))
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
