@@ -24,8 +24,10 @@ a task.
 
 Defined results: null and empty texts have no bytes; texts shorter than WINDOW
 stay whole; very long texts are read to their end; a text that another row holds
-too goes as a whole; rows without an id lose nothing and count for nothing; each row that repeats an id counts as a
-text of its own; an empty table gives no rows; other columns are not read.
+too goes as a whole; rows without an id lose nothing and count for nothing; rows
+that repeat an id are texts of their own, known by their id and a hash of the
+text (rows equal in both are each other's copies); an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,15 +38,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_and_text, materialise, mix, repeated, rolling, sliding_argmin, table, text_bytes, text_parts, total_bytes
 
 WINDOW, GRAM = 400, 48
 SHARD_BYTES, PART_BYTES = 12 << 20, 1 << 20
-#: Bytes of context that a bucket gets.
-BUCKET_BYTES = 4 << 20
+#: Bytes of context that a range is meant to have, and that a bucket gets: what a task holds at a time.
+RANGE_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
 #: Ranges at most, for each of which the driver sees 100 sampled keys of WINDOW bytes or less: 80 MB.
 MOST_RANGES = 2048
 #: Sets of strings up to this size are sorted whole.
@@ -53,14 +55,18 @@ SMALL = 48
 SIGNS = mix(np.arange(1, 257))
 
 
-def dealt_by_id(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) hash-partitioned by id into partitions of SHARD_BYTES."""
-    return docs.repartition(max(1, math.ceil(total_bytes(docs) / SHARD_BYTES)), "doc_id")
+#: What a row is known by: its id and a hash of its text.
+ROW = ["doc_id", "h"]
+
+
+def dealt_by_row(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, text) hash-partitioned by row into partitions of SHARD_BYTES."""
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").repartition(max(1, math.ceil(total_bytes(docs) / SHARD_BYTES)), *ROW)
 
 
 def attach(docs: DataFrame, other: DataFrame) -> DataFrame:
-    """Left join by id that builds on the small side, so texts need no sort."""
-    return docs.join(other.hint("shuffle_hash"), "doc_id", "left")
+    """Left join by row that builds on the small side, so texts need no sort."""
+    return docs.join(other.hint("shuffle_hash"), ROW, "left")
 
 
 def usable(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -77,10 +83,10 @@ def witness_rows(keys: np.ndarray, known: np.ndarray, salt: np.ndarray) -> tuple
 
 
 def twins(docs: DataFrame) -> DataFrame:
-    """(doc_id, twin, copy): documents whose whole text another row has; copy is null for the smallest id."""
-    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("sha"))
+    """(doc_id, h, twin, copy): rows whose whole text another row has; copy is null for the smallest id."""
+    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("sha"))
     groups = keyed.groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    out = keyed.join(groups, "sha").select("doc_id", F.lit(True).alias("twin"), F.when(F.col("doc_id") > F.col("first_id"), True).alias("copy"))
+    out = keyed.join(groups, "sha").select(*ROW, F.lit(True).alias("twin"), F.when(F.col("doc_id") > F.col("first_id"), True).alias("copy"))
     return out.distinct()
 
 
@@ -97,39 +103,73 @@ def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, low[starts], h
 
 
+def settled_anchors(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Anchors of a shard: those whose gram the shard has twice are known and keep to themselves, but send one witness of it."""
+    keys, ids, marks, positions = (np.concatenate(c) for c in zip(*found, strict=True))
+    known = repeated(keys)
+    _, witness = np.unique(keys, return_index=True)
+    witness = witness[known[witness]]
+    salted, flags = witness_rows(keys, known, mix(ids.astype(np.uint64)) ^ positions.astype(np.uint64))
+    none, zero = np.repeat([False, True], [len(ids), len(witness)]), np.zeros(len(witness), np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([salted, keys[witness]]).view(np.int64)), *(pa.array(np.concatenate([x, zero]), mask=none) for x in (ids, marks)), pa.array(np.concatenate([positions, zero])), pa.array(np.concatenate([flags, np.zeros(len(witness), bool)]))],
+        ["key", *ROW, "position", "known"],
+    )
+
+
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found, size = [], 0
     for whole in text_parts(batches, PART_BYTES):
         part = usable(whole)
         data, off = text_bytes(part.column("text"))
         _, at, h = anchors(data, off)
         at = np.unique(at)
         row = np.searchsorted(off, at, "right") - 1
-        ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[row]
-        keys = h[at]
-        known = repeated(keys)
-        _, witness = np.unique(keys, return_index=True)
-        witness = witness[known[witness]]
-        salted, flags = witness_rows(keys, known, mix(ids.astype(np.uint64)) ^ at.astype(np.uint64))
-        none = np.concatenate([np.zeros(len(ids), bool), np.ones(len(witness), bool)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([salted, keys[witness]]).view(np.int64)), pa.array(np.concatenate([ids, np.zeros(len(witness), np.int64)]), mask=none), pa.array(np.concatenate([at - off[row], np.zeros(len(witness), np.int64)])), pa.array(np.concatenate([flags, np.zeros(len(witness), bool)]))],
-            ["key", "doc_id", "position", "known"],
-        )
+        found.append((h[at], *(part.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[row] for c in ROW), at - off[row]))
+        size += len(data)
+        if size >= SHARD_BYTES:
+            yield settled_anchors(found)
+            found, size = [], 0
+    if found:
+        yield settled_anchors(found)
+
+
+def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of their keys, those whose key a neighbour has too, or that are known; one row is held back at a time."""
+    held, like = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if held is None else pa.concat_batches([held, batch])
+        key = rows.column("key").to_numpy()
+        same = key[1:] == key[:-1]
+        before = np.concatenate([[like], same])
+        keep = (before | np.append(same, False))[:-1] | rows.column("known").to_numpy(zero_copy_only=False)[:-1]
+        yield rows.slice(0, len(key) - 1).filter(pa.array(keep))
+        held, like = rows.slice(len(key) - 1), bool(before[-1])
+    if held is not None:
+        yield held.filter(pa.compute.or_(held.column("known"), pa.scalar(like)))
 
 
 def recurring_anchors(docs: DataFrame) -> DataFrame:
-    found = docs.mapInArrow(find_anchors, "key long, doc_id long, position long, known boolean")
-    found = found.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("(known OR n > 1) AND doc_id IS NOT NULL")
-    return found.groupBy("doc_id").agg(F.collect_list("position").alias("positions"))
+    """(doc_id, h, positions): anchors whose gram occurs twice or more.
+
+    A shard sends a gram once, however often it has it, and rows pass one by one
+    in the order of their grams: no group of equal ones is held, and the most
+    frequent gram is a row for each shard.
+    """
+    found = docs.mapInArrow(find_anchors, schema := "key long, doc_id long, h long, position long, known boolean")
+    there = found.repartition("key").sortWithinPartitions("key").mapInArrow(shared_keys, schema).where("doc_id IS NOT NULL")
+    return there.groupBy(*ROW).agg(F.collect_list("position").alias("positions"))
 
 
 #: kind 0: windows settled as repeated, at offsets o_from..o_to before the position.  kind 1: a context to look into.
-CONTEXT = "kind int, doc_id long, position long, o_from int, o_to int, many boolean, prefix binary, suffix binary"
+CONTEXT = "kind int, doc_id long, h long, position long, o_from int, o_to int, many boolean, prefix binary, suffix binary"
 NAMES = [x.split()[0] for x in CONTEXT.split(", ")]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], NAMES)
 
@@ -147,16 +187,16 @@ def find_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         use = np.isin(at[first], wanted)
         first, last = first[use], last[use]
         row = np.searchsorted(off, at[first], "right") - 1
-        ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+        who = list(zip(*(part.column(c).to_pylist() for c in ROW), strict=True))
         raw, seen = data.tobytes(), {}
         for r, a, lo, hi in zip(row.tolist(), at[first].tolist(), starts[first].tolist(), starts[last].tolist(), strict=True):
-            seen.setdefault((raw[lo:a][::-1], raw[a : hi + WINDOW]), []).append((int(ids[r]), a - int(off[r]), a - hi, a - lo))
+            seen.setdefault((raw[lo:a][::-1], raw[a : hi + WINDOW]), []).append((who[r], a - int(off[r]), a - hi, a - lo))
         rows = []
         for (prefix, suffix), own in seen.items():
             if len(own) > 1:
-                rows += [(0, i, p, o1, o2, False, None, None) for i, p, o1, o2 in own]
+                rows += [(0, *i, p, o1, o2, False, None, None) for i, p, o1, o2 in own]
             i, p, o1, o2 = own[0]
-            rows.append((1, None if len(own) > 1 else i, p, o1, o2, len(own) > 1, prefix, suffix))
+            rows.append((1, *((None, None) if len(own) > 1 else i), p, o1, o2, len(own) > 1, prefix, suffix))
         yield _batch(rows)
 
 
@@ -210,7 +250,7 @@ def in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     for batch in batches:
         for row in zip(*[batch.column(n).to_pylist() for n in NAMES], strict=True):
             rows.append(row)
-            size += len(row[6]) + len(row[7])
+            size += len(row[7]) + len(row[8])
             if size >= BUCKET_BYTES:
                 yield rows
                 rows, size = [], 0
@@ -228,14 +268,14 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
     def settle_bucket(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         m = len(rows)
         wide = -(-WINDOW // 8) * 8
-        prefixes, suffixes = matrix([r[6] for r in rows], wide), matrix([r[7] for r in rows], wide)
+        prefixes, suffixes = matrix([r[7] for r in rows], wide), matrix([r[8] for r in rows], wide)
         sides = []
         for side in (prefixes, suffixes):
             order = multikey_order(side)
             sides.append((order, neighbours(side, order)))
         depth = edge_depth(*sides[1 if by_suffix else 0])
-        o_from, o_to = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
-        weight = np.array([2 if r[5] else 1 for r in rows])
+        o_from, o_to = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+        weight = np.array([2 if r[6] else 1 for r in rows])
         out: list[tuple] = []
         hits, opens = [], []
         for o in range(int(o_from.min()), int(o_to.max()) + 1):
@@ -266,17 +306,18 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
                     found.setdefault(i, []).append(o)
         for i, os in found.items():
             runs = np.split(np.array(os), np.flatnonzero(np.diff(os) > 1) + 1)
-            out += [(0, rows[i][1], rows[i][2], int(r[0]), int(r[-1]), False, None, None) for r in runs]
+            out += [(0, *rows[i][1:4], int(r[0]), int(r[-1]), False, None, None) for r in runs]
         pending: dict[int, tuple[int, int, bool]] = {}
         for at, o, dup in opens:
             for i, d in zip(at.tolist(), dup.tolist(), strict=True):
                 if last:  # one row per window: its text is what is compared
-                    window = rows[i][6][:o][::-1] + rows[i][7][: WINDOW - o]
-                    out.append((2, None if d or rows[i][5] else rows[i][1], rows[i][2], o, o, d or rows[i][5], hashlib.md5(window).digest(), None))
+                    window = rows[i][7][:o][::-1] + rows[i][8][: WINDOW - o]
+                    settled = d or rows[i][6]
+                    out.append((2, *((None, None) if settled else rows[i][1:3]), rows[i][3], o, o, settled, hashlib.md5(window).digest(), None))
                 else:
                     a, b, all_dup = pending.get(i, (o, o, True))
                     pending[i] = (min(a, o), max(b, o), all_dup and d)
-        out += [(1, rows[i][1], rows[i][2], a, b, rows[i][5], rows[i][6], rows[i][7]) for i, (a, b, _) in pending.items()]
+        out += [(1, *rows[i][1:4], a, b, *rows[i][6:]) for i, (a, b, _) in pending.items()]
         for i in range(0, len(out), 20_000):
             yield _batch(out[i : i + 20_000])
 
@@ -286,22 +327,22 @@ def resolve(by_suffix: bool, last: bool = False) -> Callable[[Iterator[pa.Record
 def ranges(contexts: DataFrame, side: str) -> DataFrame:
     """contexts in order of one side; ties, which may be many, by id."""
     size = contexts.select(F.sum(F.length("prefix") + F.length("suffix"))).head()[0] or 0
-    n = min(max(1, math.ceil(size / BUCKET_BYTES)), MOST_RANGES)
-    return contexts.repartitionByRange(n, side, "doc_id", "position").sortWithinPartitions(side)
+    n = min(max(1, math.ceil(size / RANGE_BYTES)), MOST_RANGES)
+    return contexts.repartitionByRange(n, side, *ROW, "position").sortWithinPartitions(side)
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): runs of window starts, both ends included, that recur."""
+    """(doc_id, h, spans): runs of window starts, both ends included, that recur."""
     contexts = materialise(attach(docs, recurring_anchors(docs)).mapInArrow(find_contexts, CONTEXT))
     by_suffix = materialise(ranges(contexts.where("kind = 1"), "suffix").mapInArrow(resolve(True), CONTEXT))
     by_prefix = materialise(ranges(by_suffix.where("kind = 1"), "prefix").mapInArrow(resolve(False, last=True), CONTEXT))
     edges = by_prefix.where("kind = 2")
-    total = F.sum(F.when(F.col("many"), 2).otherwise(1)).over(Window.partitionBy("prefix"))
-    edges = edges.withColumn("n", total).where("n > 1").drop("n")
+    twice = edges.groupBy("prefix").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).where("n > 1").select("prefix")
+    edges = edges.where("doc_id IS NOT NULL").join(twice, "prefix", "left_semi")
     done = [x.where("kind = 0") for x in (contexts, by_suffix, by_prefix)] + [edges]
-    spans = [x.where("doc_id IS NOT NULL").select("doc_id", F.struct((F.col("position") - F.col("o_to")).alias("from"), (F.col("position") - F.col("o_from")).alias("to")).alias("span")) for x in done]
+    spans = [x.where("doc_id IS NOT NULL").select(*ROW, F.struct((F.col("position") - F.col("o_to")).alias("from"), (F.col("position") - F.col("o_from")).alias("to")).alias("span")) for x in done]
     every = spans[0].union(spans[1]).union(spans[2]).union(spans[3])
-    return every.groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
+    return every.groupBy(*ROW).agg(F.collect_set("span").alias("spans"))
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +371,7 @@ def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): texts without their repeated byte strings."""
     docs = id_and_text(docs, id_col, text_col)
-    dealt = attach(dealt_by_id(docs), twins(docs))
+    dealt = attach(dealt_by_row(docs), twins(docs))
     out = attach(dealt, repeated_windows(dealt))
     return out.mapInArrow(cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 

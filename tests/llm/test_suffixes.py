@@ -27,6 +27,7 @@ def brute(docs, n=400):
 def test_planted_passages(spark, monkeypatch, bucket):
     monkeypatch.setattr(suffixes, "SHARD_BYTES", 60_000)
     monkeypatch.setattr(suffixes, "BUCKET_BYTES", bucket)
+    monkeypatch.setattr(suffixes, "RANGE_BYTES", bucket)
     rnd = random.Random(6)
     text = lambda n: "".join(rnd.choice("abcdé fgh\n") for _ in range(n))
     passages = [text(n) for n in (360, 398, 401, 500, 900, 1500)]
@@ -59,3 +60,44 @@ def test_multikey_order():
     rows[100:200, 8:] = rows[100, 8:]
     order = suffixes.multikey_order(rows)
     assert [rows[i].tobytes() for i in order] == sorted(r.tobytes() for r in rows)
+
+
+def test_rows_that_repeat_an_id_are_texts_of_their_own(spark, monkeypatch):
+    """Same id with other text, same id and text, null ids, against brute force over rows."""
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 5_000)
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    a, b, c, common = text(944), text(800), text(2500), text(450)
+    rows = [(3, a), (5, a), (5, b), (5, c), (1, c[600:1200]), (7, b[:100] + common), (7, common + "x"), (8, "short"), (8, text(1300)), (9, c), (9, c), (5, None)]
+    df = spark.createDataFrame([*rows, (None, a), (None, text(900))], "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(df).collect() if r.doc_id is not None)
+    want = Counter()
+    for k, x in brute(list(enumerate(t for _, t in rows))).items():
+        want[rows[k][0], *x] += 1
+    assert got == want
+    assert all(r.n_removed == 0 for r in suffixes.remove_repeats(df).where("doc_id IS NULL").collect())
+
+
+def test_one_passage_in_every_document_at_tiny_sizes(spark, monkeypatch):
+    for name, n in (("SHARD_BYTES", 2_000), ("PART_BYTES", 700), ("BUCKET_BYTES", 3_000), ("RANGE_BYTES", 5_000)):
+        monkeypatch.setattr(suffixes, name, n)
+    rnd = random.Random(10)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = text(520)
+    docs = [(i, text(rnd.randrange(200)) + passage + text(rnd.randrange(200))) for i in range(150)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(df).collect()}
+    assert got == brute(docs)
+    plan = suffixes.remove_repeats(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan
+
+
+def test_neighbours_in_key_order():
+    import pyarrow as pa
+
+    keys = [1, 2, 2, 3, 4, 4, 4, 5, 6]
+    known = [False] * 8 + [True]
+    whole = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(known)], ["key", "known"])
+    for cut in (1, 2, 3, 5, 9):
+        batches = [whole.slice(i, cut) for i in range(0, 9, cut)]
+        assert [k for b in suffixes.shared_keys(iter(batches)) for k in b.column("key").to_pylist()] == [2, 2, 4, 4, 4, 6]
