@@ -102,3 +102,41 @@ def test_near_duplicates_in_sets_of_many_against_brute_force(spark):
     assert len(set(group.values())) < len(group) // 2 + 5
     got = simhash.near_duplicate_roots(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: r.root for r in got} == {i: r for i, r in group.items() if i != r}
+
+
+def exact_pairs(docs, least):
+    """All pairs of texts of similarity ``least`` or more, with it, over an index of all five-word shingles."""
+    from collections import Counter, defaultdict
+
+    sets = {i: set(simhash.shingles((t or "").encode(), 5)) for i, t in docs}
+    where = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            where[x].append(i)
+    for i, s in sets.items():
+        met = Counter(j for x in s for j in where[x] if j > i)
+        for j, n in met.items():
+            if n / (len(s) + len(sets[j]) - n) >= least:
+                yield i, j, n / (len(s) + len(sets[j]) - n)
+
+
+def test_recall_on_a_table(spark):
+    """Every pair of documents of sf0.01 at 0.8 or more ends in one group, and no group joins what no chain of such pairs joins."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = [(r.doc_id, r.text) for r in table.collect()]
+    root = {r.doc_id: r.root for r in simhash.near_duplicate_roots(table).collect()}
+    pairs = list(exact_pairs(docs, 0.8))
+    found = [root.get(i, i) == root.get(j, j) for i, j, _ in pairs]
+    print(f"{sum(found)} of {len(pairs)} pairs at 0.8 and more, {sum(s < 1 for _, _, s in pairs)} of them between different sets")
+    assert len(pairs) > 50 and all(found)
+    group = {i: i for i, _ in docs}
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, j, _ in pairs:
+        a, b = sorted((top(i), top(j)))
+        group[b] = a
+    assert {i: r for i, r in root.items()} == {i: top(i) for i, _ in docs if top(i) != i}
