@@ -121,28 +121,40 @@ def as_characters(code: np.ndarray) -> str:
 
 
 class Automaton:
-    """An Aho-Corasick automaton over the words of some phrases; other words are one character that fits nowhere."""
+    """An Aho-Corasick automaton over the words of some phrases; other words are one number that fits nowhere.
+
+    A word is three characters, the digits of its number, each place with an
+    alphabet of its own: nodes have few edges however many words there are, and a
+    match can only begin where a word does.
+    """
 
     def __init__(self, phrases: list[bytes]):
         import ahocorasick
 
         self.machine, self.numbers = ahocorasick.Automaton(), {}
-        for phrase in phrases:
-            codes = [self.numbers.setdefault(x, len(self.numbers) + 1) for x in phrase.split(b" ")]
-            self.machine.add_word(as_characters(np.array(codes)), 1)
+        codes = [self.numbers.setdefault(x, len(self.numbers) + 1) for phrase in phrases for x in phrase.split(b" ")]
+        self.base = max(2, math.ceil((len(self.numbers) + 1) ** (1 / 3) + 1e-9))
+        signs, width = self._signs(np.array(codes, np.int64)), 3 * PHRASE
+        for i in range(0, len(signs), width):
+            self.machine.add_word(signs[i : i + width], 1)
         self.machine.make_automaton()
 
+    def _signs(self, number: np.ndarray) -> str:
+        b = self.base
+        digits = np.stack([number // (b * b), b + number // b % b, 2 * b + number % b], 1)
+        return as_characters(digits.ravel())
+
     def occurrences(self, w: Words, which: np.ndarray, distinct: list[bytes]) -> np.ndarray:
         """The words at which a phrase begins, marked, for all texts of a batch."""
         marks = np.zeros(len(which), bool)
         if len(self.machine) and len(which):
             get, ends = self.numbers.get, []
             number = np.array([get(x, 0) for x in distinct], np.int64)
-            signs, first = as_characters(number[which]), w.first.tolist()
+            signs, first = self._signs(number[which]), w.first.tolist()
             for a, b in zip(first[:-1], first[1:], strict=True):
                 if b - a >= WINDOW:
-                    ends += [end for end, _ in self.machine.iter(signs, a, b)]
-            marks[np.array(ends, np.int64) - PHRASE + 1] = True
+                    ends += [3 * a + end for end, _ in self.machine.iter(signs[3 * a : 3 * b])]
+            marks[np.array(ends, np.int64) // 3 - PHRASE + 1] = True
         return marks
 
 
