@@ -31,11 +31,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where that is unset (a laptop, the tests) a folder below the warehouse
-    is used instead.
+    Only in local mode (a laptop, the tests) may that be unset: a folder below
+    the warehouse is used instead.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_stages"
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir") + "/_stages"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
