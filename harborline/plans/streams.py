@@ -14,9 +14,14 @@ QUERIES, ORACLE_SQL = {}, {}
 
 
 def shared(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; only in local mode one below the warehouse."""
     import uuid
 
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_streams"
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir") + "/_streams"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
