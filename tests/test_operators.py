@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.functions.expr import haversine_km
-from harborline.operators import keyed, panels, spatial, temporal
+from harborline.operators import keyed, panels, scoring, spatial, temporal
 
 
 def test_upsert_is_idempotent_and_null_safe(spark):
@@ -56,3 +56,9 @@ def test_islands(spark):
     df = spark.createDataFrame([("a", i, s) for i, s in enumerate([1, 1, None, None, 2, 1])], "k string, t long, s long")
     got = [r.island for r in keyed.islands(df, ["k"], ["t"], F.col("s")).orderBy("t").collect()]
     assert got == [1, 1, 2, 2, 3, 4]
+
+
+def test_pr_curve_without_positives(spark):
+    df = spark.createDataFrame([(i / 10, 0) for i in range(10)], "score double, y int")
+    got = scoring.pr_curve(df, "score").collect()
+    assert {(r.precision, r.recall) for r in got} == {(0.0, None)} and max(r.k for r in got) == 10
