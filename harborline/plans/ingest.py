@@ -111,7 +111,7 @@ def union_trade_flows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("filter_country_partners", "SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS code FROM customer WHERE c_custkey BETWEEN 1000 AND 9999")
 def filter_country_partners(spark: SparkSession, sf: str) -> DataFrame:
-    return v.table(spark, sf, "customer").select("c_custkey", F.lpad(F.col("c_custkey").cast("string"), 4, "0").alias("code")).where(F.col("code").rlike("^[1-9][0-9]{3}$"))
+    return ps.country_partners(v.table(spark, sf, "customer").select("c_custkey", ps.padded(F.col("c_custkey").cast("string"), 4).alias("code")), "code")
 
 
 @query("page_cells")

@@ -24,6 +24,16 @@ def blank_to_null(c: Column, *marks: str) -> Column:
     return F.when(~t.isin("", *marks), t)
 
 
+def padded(c: Column, n: int) -> Column:
+    """A code with zeros before it up to n characters; longer codes stay whole."""
+    return F.when(F.length(c) < n, F.lpad(c, n, "0")).otherwise(c)
+
+
+def country_partners(rows: DataFrame, code: str) -> DataFrame:
+    """Rows of single countries: codes of four digits that do not start with 0; totals and groups go."""
+    return rows.where(F.col(code).rlike("^[1-9][0-9]{3}$"))
+
+
 def tag(df: DataFrame, source: str, day: str) -> DataFrame:
     return df.withColumns({"source": F.lit(source), "partition_date": F.lit(day).cast("date")})
 

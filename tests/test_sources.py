@@ -45,3 +45,9 @@ def test_matrix_takes_the_first_of_equal_names(spark):
     raw = spark.createDataFrame([('[["a","b","a"],["1","-","9"],["x","2.5","9"]]',)], "value string")
     rows = ps.census_matrix(raw, {"a": "bigint", "b": "double", "c": "double"}).collect()
     assert [tuple(r) for r in rows] == [(1, None, None), (None, 2.5, None)]
+
+
+def test_partner_codes_stay_whole(spark):
+    raw = spark.createDataFrame([("28",), ("1234",), ("12345",), ("0003",), ("-",), (None,)], "c string").select(ps.padded(F.col("c"), 4).alias("code"))
+    assert [r.code for r in raw.collect()] == ["0028", "1234", "12345", "0003", "000-", None]
+    assert [r.code for r in ps.country_partners(raw, "code").collect()] == ["1234"]
