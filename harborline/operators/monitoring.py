@@ -5,6 +5,8 @@ Every check takes the time it judges at as a parameter; none reads the clock.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,12 +42,26 @@ def freshness_sla(df: DataFrame, slas: DataFrame, source: str, time: str, as_of:
     return out.where(F.col("newest").isNull() | (F.col("hours_old") > F.col("sla_hours")))
 
 
-def volume_anomalies(runs: DataFrame, source: str, order: list[str], value: str, window: int = 30, least: int = 5, alert: float = 2.0) -> DataFrame:
-    """z of each count against the last `window` counts, its own among them."""
+def volume_anomalies(runs: DataFrame, source: str, order: list[str], value: str, window: int = 30, least: int = 5, alert: float = 2.0, high: float = 3.0) -> DataFrame:
+    """z of each count against the last `window` counts, its own among them.
+
+    Counts are whole numbers, so n times the distance from the mean and n times
+    the deviation are compared with the thresholds exactly: a z of just `alert`
+    or `high` is not above it, however a mean or a root is rounded.
+    """
     w = Window.partitionBy(source).orderBy(*order).rowsBetween(1 - window, 0)
-    n, mean, sd = F.count(value).over(w), F.avg(value).over(w), F.stddev_pop(value).over(w)
-    out = runs.withColumns({"n": n, "z": F.when((n >= least) & (sd > 0), (F.col(value) - mean) / sd)})
-    return out.where(F.abs("z") > alert).withColumn("severity", F.when(F.abs("z") > 3, "high").otherwise("medium"))
+    x = F.col(value).cast("decimal(18,0)")
+    n = F.count(value).over(w)
+    out = runs.withColumns({"n": n, "_s": F.sum(x).over(w), "_q": F.sum(x * x).over(w)})
+    out = out.withColumns({"_d": (F.col("n") * x - F.col("_s")).cast("decimal(38,0)"), "_v": (F.col("n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("decimal(38,0)")})
+    out = out.withColumn("z", F.when((F.col("n") >= least) & (F.col("_v") > 0), F.col("_d").cast("double") / F.sqrt(F.col("_v").cast("double"))))
+
+    def above(limit: float) -> Column:
+        p, q = Fraction(str(limit)).as_integer_ratio()
+        return F.col("_d") * F.col("_d") * F.lit(q * q) > F.col("_v") * F.lit(p * p)
+
+    out = out.where(F.col("z").isNotNull() & above(alert)).withColumn("severity", F.when(above(high), "high").otherwise("medium"))
+    return out.drop("_s", "_q", "_d", "_v")
 
 
 def duration_anomalies(runs: DataFrame, source: str, order: list[str], value: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.functions.expr import haversine_km
-from harborline.operators import keyed, panels, scoring, spatial, temporal
+from harborline.operators import keyed, monitoring, panels, scoring, spatial, temporal
 
 
 def test_upsert_is_idempotent_and_null_safe(spark):
@@ -62,3 +62,14 @@ def test_pr_curve_without_positives(spark):
     df = spark.createDataFrame([(i / 10, 0) for i in range(10)], "score double, y int")
     got = scoring.pr_curve(df, "score").collect()
     assert {(r.precision, r.recall) for r in got} == {(0.0, None)} and max(r.k for r in got) == 10
+
+
+def test_volume_thresholds_are_exact(spark):
+    # z is -3 and -1.6 to the last digit; means and roots in floating point pass either
+    at_3 = [55] * 4 + [54] * 6 + [73] * 6 + [82] * 6 + [77] * 6 + [10] * 2
+    at_alert = [29] * 3 + [84] * 6 + [98] * 6 + [75] * 6 + [50] * 6 + [27] * 3
+    df = spark.createDataFrame([(s, i, x) for s, xs in (("a", at_3), ("b", at_alert), ("c", [7] * 30), ("d", [1] * 29 + [9])) for i, x in enumerate(xs)], "source string, i long, n_rows long")
+    got = {(r.source, r.i): (r.severity, r.z) for r in monitoring.volume_anomalies(df, "source", ["i"], "n_rows", alert=1.6).collect()}
+    assert got["a", 29][0] == "medium" and math.isclose(got["a", 29][1], -3)
+    assert ("b", 29) not in got and got["d", 29][0] == "high"
+    assert not any(s == "c" for s, _ in got)
