@@ -70,9 +70,19 @@ def locode_point(text: Column) -> tuple[Column, Column]:
     return F.when(ok, lat), F.when(ok, lon)
 
 
+def millis_text(c: Column) -> Column:
+    """Whether a text reads as a whole number, as casts read it."""
+    return c.rlike(r"^[\x00-\x20]*[+-]?\d+[\x00-\x20]*$")
+
+
 def any_date(c: Column) -> Column:
-    """A day from epoch milliseconds, `YYYY-MM-DD` or `YYYY/MM/DD`."""
-    return F.coalesce(F.to_date(F.timestamp_millis(lenient(c, "bigint"))), F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "yyyy/MM/dd"))
+    """A day from epoch milliseconds, `YYYY-MM-DD` or `YYYY/MM/DD`.
+
+    A text that fails to parse costs an exception, so only digits meet the cast, and only texts with its own separator a pattern.
+    """
+    millis = F.when(millis_text(c), lenient(c, "bigint"))
+    at = lambda sep: F.when(c.contains(sep), F.try_to_date(c, f"yyyy{sep}MM{sep}dd"))
+    return F.coalesce(F.to_date(F.timestamp_millis(millis)), at("-"), at("/"))
 
 
 def arcgis_features(raw: DataFrame, fields: dict[str, tuple[str, str]], keys: list[str], text: str = "value") -> DataFrame:

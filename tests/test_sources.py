@@ -60,3 +60,11 @@ def test_report_rows_repeat_in_other_reports_only(spark):
     texts = [report(cell("2024/25 Est.", 5), cell("2024/25", 6), cell("2025/26 Proj.", 7)), report(cell("2024/25 Est.", 5)), "<Report/>", None]
     got = fe.report_xml(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
     assert sorted(tuple(r) for r in got) == [("Corn", "World", "2024/25", "Est.", 5.0)] * 2 + [("Corn", "World", "2025/26", "Proj.", 7.0)]
+
+
+def test_dates_of_any_shape_do_not_fail_by_the_way(spark):
+    texts = {"1704067200000": (2024, 1, 1), " -86400000 ": (1969, 12, 31), "+0": (1970, 1, 1), "2024-01-02": (2024, 1, 2), "2024/01/03": (2024, 1, 3), "2024/13/03": None, "2024-1/2": None, "soon": None, "": None, "99999999999999999999": None}
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "value string").select("value", ps.any_date(F.col("value")).alias("day"), ps.millis_text(F.col("value")).alias("whole")).collect()
+    assert {r.value: r.day for r in rows} == {t: dt.date(*d) if d else None for t, d in texts.items()} | {None: None}
+    # a cast that fails costs an exception for each row: only whole numbers get to it
+    assert {r.value for r in rows if r.whole} == {"1704067200000", " -86400000 ", "+0", "99999999999999999999"}
