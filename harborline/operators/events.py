@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expr import haversine_km
 from .spatial import spatial_join
 from .temporal import rows
 
@@ -22,10 +25,42 @@ def event_exposure(events: DataFrame, ports: DataFrame, radius_km: float = 800.0
     near = spatial_join(ports, events, radius_km, "port_id", "event_id")
     listed = events.select("event_id", F.explode("ports").alias("port_id"), F.lit(True).alias("listed"))
     both = near.join(listed, ["port_id", "event_id"], "full").join(events.select("event_id", "is_red", "from_date"), "event_id")
-    both = both.withColumn("week_start", F.explode(F.transform(F.sequence(F.lit(0), F.lit(weeks - 1)), lambda k: F.date_add(F.trunc("from_date", "week"), k * 7))))
+    both = both.withColumn("week_start", F.explode(hit_weeks("from_date", weeks)))
     return both.select("port_id", "event_id", "week_start", "km", F.coalesce("listed", F.lit(False)).alias("listed"), "is_red", "from_date")
 
 
+def daily_exposure(events: DataFrame, ports: DataFrame, radius_km: float = 800.0, task_rows: int = 500_000) -> DataFrame:
+    """What event_exposure holds, summed by port and first day of the events: (port_id, from_date, n, n_red, red_km, nearest).
+
+    An event counts once for each of its kinds; nearest is the least (km, event_id,
+    event_type), an unknown distance last.  Events are dealt to tasks of
+    task_rows rows or so and meet ports, which are few, where they are; what
+    leaves a task is a row per port and day.
+    """
+    parts = max(1, math.ceil(events.count() / task_rows))
+    dealt = events.repartition(parts, "event_id")
+    kind = F.struct("event_type")
+    some = F.col("event_type") != "DR"
+    known = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & some, F.struct("from_date", "latitude", "longitude"))
+    each = dealt.groupBy("event_id").agg(F.count_if(some).alias("rows"), F.max(F.when(some, (F.upper("alert_level") == "RED").cast("int"))).cast("boolean").alias("is_red"), F.min(F.when(some, F.col("from_date"))).alias("from_date"), F.min(known).alias("p"), F.collect_set(F.when(some, F.col("listed_port"))).alias("ports"), F.collect_set(kind).alias("kinds"))
+    each = each.where("rows > 0").select(F.struct("event_id", "is_red", "from_date", "ports", "kinds").alias("e"), "p.latitude", "p.longitude")
+    near = spatial_join(each, ports, radius_km, "e", "port_id").select("port_id", "e", "km")
+    # listed ports that the radius has not found
+    place = F.broadcast(ports.select("port_id", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon")))
+    listed = each.withColumn("port_id", F.explode("e.ports")).join(place, "port_id", "left")
+    km = haversine_km(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
+    listed = listed.where(F.coalesce(km > radius_km, F.lit(True))).select("port_id", "e", F.lit(None).cast("double").alias("km"))
+    both = near.unionByName(listed)
+    n, red = F.size("e.kinds"), F.col("e.is_red")
+    nearest = F.struct(F.coalesce("km", F.lit(1e9)).alias("km"), F.col("e.event_id").alias("event_id"), F.array_min("e.kinds")["event_type"].alias("event_type"))
+    return both.groupBy("port_id", F.col("e.from_date").alias("from_date")).agg(F.sum(n).alias("n"), F.sum(F.when(red, n).otherwise(0)).alias("n_red"), F.min(F.when(red, F.col("km"))).alias("red_km"), F.min(nearest).alias("nearest"))
+
+
+def hit_weeks(from_date: str, weeks: int = 3):  # noqa: ANN201
+    """The starting week of a day and those after it."""
+    return F.transform(F.sequence(F.lit(0), F.lit(weeks - 1)), lambda k: F.date_add(F.trunc(from_date, "week"), k * 7))
+
+
 def attach_events(warnings: DataFrame, exposure: DataFrame, release_days: int = 15) -> DataFrame:
     """Nearest and listed events of the target week that were known when the origin was released."""
     e = exposure.withColumnRenamed("week_start", "target_week")

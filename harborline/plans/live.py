@@ -70,8 +70,9 @@ def trained_path(spark: SparkSession, sf: str) -> str:
 @query("live_warnings")
 def live_warnings(spark: SparkSession, sf: str) -> DataFrame:
     """The newest origin's warnings on the day after its release; lists as text."""
-    today = newest_origin(spark, sf) + timedelta(days=RELEASE_DAYS + 1)
-    out = warnings_from(spark, sf, trained_path(spark, sf), today)
+    with v.kept():
+        today = newest_origin(spark, sf) + timedelta(days=RELEASE_DAYS + 1)
+        out = warnings_from(spark, sf, trained_path(spark, sf), today)
     text = lambda c: F.concat_ws("; ", c)
     return out.withColumns({"drivers": text(F.transform("drivers", lambda x: x.cast("string"))), "reasons": text(F.col("reasons")), "alternatives": text(F.transform("alternatives", lambda a: F.concat_ws(" ", a["other_id"].cast("string"), a["km"].cast("string"))))})
 
@@ -79,8 +80,9 @@ def live_warnings(spark: SparkSession, sf: str) -> DataFrame:
 @query("driver_groups")
 def driver_groups(spark: SparkSession, sf: str) -> DataFrame:
     """The push of every group of inputs on each live row, long, and whether it is a reason."""
-    model = lv.WarningModel.load(spark, trained_path(spark, sf))
-    out = lv.driver_groups(model, newest_rows(spark, sf), KEYS, GROUPS)
+    with v.kept():
+        model = lv.WarningModel.load(spark, trained_path(spark, sf))
+        out = lv.driver_groups(model, newest_rows(spark, sf), KEYS, GROUPS)
     names = F.array(*map(F.lit, GROUPS))
     each = out.select(*KEYS, "reasons", F.explode(F.arrays_zip(names.alias("name"), F.col("drivers").alias("push"))).alias("d"))
     return each.select(*KEYS, F.col("d.name").alias("driver"), F.col("d.push").alias("push"), F.array_contains("reasons", F.col("d.name")).alias("is_reason"))

@@ -45,6 +45,11 @@ def event_exposure(spark: SparkSession, sf: str) -> DataFrame:
     return ev.event_exposure(prepared(spark, sf), v.profiles(spark, sf))
 
 
+@v.once
+def daily_exposure(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.daily_exposure(v.hazards(spark, sf), v.profiles(spark, sf))
+
+
 ATTACHED = "att AS (SELECT w.origin_week, w.target_week, w.horizon, w.port_id, w.y, min(e.km) AS event_km, coalesce(bool_or(e.listed), false) AS event_listed FROM wa w LEFT JOIN ex e ON e.port_id = w.port_id AND e.week_start = w.target_week AND e.from_date <= w.origin_week + 15 GROUP BY 1, 2, 3, 4, 5)"
 
 

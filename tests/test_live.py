@@ -6,7 +6,9 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from harborline.operators import events as ev
 from harborline.operators import live as lv
+from harborline.plans import disruption
 
 NAMES = ["calls", "storm", "luck"]
 WEEKS = [date(2020, 1, 6) + timedelta(weeks=k) for k in range(120)]
@@ -77,3 +79,23 @@ def test_record_joins_known_outcomes_and_keeps_the_best(spark):
     recent = {r.target_week: r for r in lv.recent_record(record, "port_id", 2).collect()}
     assert set(recent) == {w[1], w[2]} and (recent[w[2]].horizon, recent[w[2]].happened, recent[w[2]].drop_pct) == (1, True, 0.7)
     assert {r.target_week for r in lv.recent_record(record, "port_id", 1).collect()} == {w[2]}
+
+
+def test_daily_exposure_sums_event_exposure(spark):
+    rnd = random.Random(4)
+    ports = spark.createDataFrame([(i, rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(12)], "port_id long, latitude double, longitude double")
+    day = lambda: date(2020, 1, 1) + timedelta(days=rnd.randrange(40))
+    place = lambda: (None, 1.0) if rnd.random() < 0.1 else (rnd.uniform(-60, 60), rnd.uniform(-180, 180))
+    rows = [(rnd.randrange(150), rnd.choice(["TC", "FL", "DR"]), rnd.choice(["RED", "green"]), day(), *place(), rnd.randrange(14)) for _ in range(200)]
+    events = spark.createDataFrame(rows, "event_id long, event_type string, alert_level string, from_date date, latitude double, longitude double, listed_port long")
+    kinds = events.select("event_id", "event_type").distinct()
+    each = ev.event_exposure(ev.prepare_events(events), ports, 3000.0).join(kinds, "event_id")
+    want = each.groupBy("port_id", "week_start", "from_date").agg(F.count("*").alias("n"), F.count_if("is_red").alias("n_red"), F.min(F.when(F.col("is_red"), F.col("km"))).alias("red_km"), F.min(F.struct(F.coalesce("km", F.lit(1e9)).alias("km"), "event_id", "event_type")).alias("nearest"))
+    got = ev.daily_exposure(events, ports, 3000.0, task_rows=50).withColumn("week_start", F.explode(ev.hit_weeks("from_date"))).select(want.columns)
+    rows_of = lambda df: sorted(map(repr, df.collect()))
+    assert rows_of(got) == rows_of(want) and got.count() > 100
+
+
+def test_features_read_the_large_tables_once(spark):
+    plan = disruption.disruption_features(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not any(f"{t}.parquet" in plan for t in ("lineitem", "orders"))  # both are summed and stored first
