@@ -7,21 +7,22 @@ training words and one unknown word.
 
 1.  Pairs.  Each part of the corpus counts its distinct (word, preceding word)
     pairs and packs them into one row for every bucket that its words fall into:
-    as many rows at most as it has distinct words.  A bucket has all pairs of its
+    as many rows at most as it has distinct words.  Numbers and texts are sent
+    compressed.  A bucket has all pairs of its
     words.  Words that are frequent in a bounded sample (which decides nothing
     but where rows lie) are spread over several buckets by their contexts.
 2.  Totals.  What a bucket cannot know alone, the tables and customers of whole
     restaurants and of spread words, is summed in homes, buckets of words like
     the others, and sent back to whoever asked.
-3.  Seating.  Every dish first has about as many tables as its customers would
-    open.  Then Gibbs sampling: again and again a customer of each dish, chosen
-    at random, gets up (an empty table goes, and with it a customer of the root)
-    and sits down again, at an old table by its size less the discount or at a
-    new one by the parent's predictive probability.  A sweep makes MOVES such
-    moves in every dish, whatever its size.  Dishes move side by side, with
-    restaurants' totals as they stand after each move, those of other buckets as
-    they stood at the last exchange.  Totals are exchanged again after the first
-    sweep; predictive probabilities are averaged over the sweeps after that.
+3.  Seating.  Gibbs sampling in blocks: a sweep lets all customers of a dish,
+    however many, get up and sit down together.  The model needs to know how many
+    tables they have, and that number is drawn from its exact distribution given
+    all other dishes: by generalised Stirling numbers up to WHOLE customers,
+    beyond by a contour integral for the same numbers.  Dishes move side by side
+    in GROUPS groups, with restaurants' totals as they stand after each group,
+    those of other buckets as they stood at the last exchange.  Totals are
+    exchanged again after the first sweep; predictive probabilities are averaged
+    over the sweeps after that.
 
 Discounts come from the counts of ones and twos of their level.  Seeds are
 fixed and all arrays are in order, so a lost bucket comes out the same again.
@@ -37,22 +38,25 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, id_and_text, mix, table, text_bytes, total_bytes, word_hashes
+from .common import Words, id_and_text, mix, table, text_bytes, text_parts, total_bytes, word_hashes
 
-PART_BYTES, BUCKET_BYTES = 6 << 20, 12 << 20
+PART_BYTES, BUCKET_BYTES, CHUNK_BYTES = 10 << 20, 12 << 20, 256 << 10
 #: Text that frequent words are looked for in; a word in so many of its tokens may be spread.
 SAMPLE_BYTES, LEAST_SEEN = 8 << 20, 50
-SWEEPS, MOVES = 2, 3
+SWEEPS = 2
+#: Customers up to which numbers of ways come from their recursion; groups in which dishes move.
+WHOLE, GROUPS = 512, 4
+#: Points of a contour integral, and of a polynomial between values of it.
+NODES, FITTED = 64, 16
 #: Of restaurants at all levels; of 0.1, 1, 3 and 8 the best on held-out texts of sf0.01.
 STRENGTH = 0.1
-#: Free slots for tables that a dish gets beyond those it has.
-SPARE = 6
 END, START = b" ", b""  # no word is a space, or empty
 
 
@@ -155,7 +159,7 @@ def ask(grid: Grid):  # noqa: ANN201
             i, j = np.searchsorted(runs, [a, b])
             contexts, at = np.unique(p.context[a:b], return_inverse=True)
             at = at.astype("<u2" if len(contexts) < 65536 else "<u4")
-            rows.append((int(p.bucket[a]), key[0].as_py(), p.word[runs[i:j]].tobytes(), per[i:j].astype("<u4").tobytes(), contexts.tobytes(), at.tobytes(), p.count[a:b].tobytes()))
+            rows.append((int(p.bucket[a]), key[0].as_py(), ascending(p.word[runs[i:j]]), squeezed(per[i:j].astype("<u4")), ascending(contexts), squeezed(at), squeezed(p.count[a:b])))
         return _rows(rows, ASK)
 
     return pack
@@ -172,8 +176,41 @@ def _one(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers, compressed: first bytes lie together, then second bytes, and so on."""
+    raw = np.ascontiguousarray(values).reshape(-1, 1).view(np.uint8).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def ascending(values: np.ndarray) -> bytes:
+    """The same for numbers in order, of which the differences are kept."""
+    return squeezed(np.diff(values, prepend=np.uint64(0)))
+
+
+def _number(blob: bytes, kind: type | str) -> np.ndarray:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def _numbers(blobs: list[bytes], kind: type | str) -> list[np.ndarray]:
-    return [np.frombuffer(b, kind) for b in blobs]
+    return [_number(b, kind) for b in blobs]
+
+
+def _ordered(blobs: list[bytes]) -> list[np.ndarray]:
+    return [np.cumsum(x, dtype=np.uint64) for x in _numbers(blobs, np.uint64)]
+
+
+def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task in compressed chunks of CHUNK_BYTES of text."""
+    for chunk in text_parts(batches, CHUNK_BYTES):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, chunk.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(chunk)
+        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["docs"])
+
+
+def unpack_texts(packed: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in packed["docs"].to_pylist()])
 
 
 def _sum(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -181,69 +218,100 @@ def _sum(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Tables:
-    """Customers of many dishes at their tables: a dish's table sizes lie in a run of slots, tables in use first."""
+    """Customers c and tables t of frequent dishes; a dish's tables are a run of slots."""
 
     def __init__(self, customers: np.ndarray, tables: np.ndarray):
-        self.c, self.t = customers.astype(np.int64), tables.astype(np.int64)
-        self._lay_out(None)
-
-    def _lay_out(self, old: tuple[np.ndarray, np.ndarray] | None) -> None:
-        cap = self.t + np.maximum(self.t, SPARE)
-        start = np.cumsum(cap) - cap
-        size = np.zeros(int(cap.sum()), np.int64)
-        slot = np.arange(int(self.t.sum())) - np.repeat(np.cumsum(self.t) - self.t, self.t)
-        to = np.repeat(start, self.t) + slot
-        if old is None:  # one large table, all others of one customer
-            size[to] = 1
-            some = self.t > 0
-            size[start[some]] = (self.c - self.t + 1)[some]
-        else:
-            size[to] = old[0][np.repeat(old[1], self.t) + slot]
-        self.start, self.cap, self.size = start, cap, size
-
-    def _find(self, at: np.ndarray, x: np.ndarray, less: float) -> np.ndarray:
-        """The table of each dish in `at` at which the running sum of sizes less `less` passes x."""
-        slot, end, x = self.start[at].copy(), self.start[at] + self.t[at] - 1, x.copy()
-        todo = np.arange(len(at))
-        while len(todo):
-            x[todo] -= self.size[slot[todo]] - less
-            todo = todo[(x[todo] >= 0) & (slot[todo] < end[todo])]
-            slot[todo] += 1
-        return slot
-
-    def leave(self, at: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """A random customer of each dish gets up; True where a table goes with it."""
-        slot = self._find(at, rng.random(len(at)) * self.c[at], 0.0)
-        self.size[slot] -= 1
-        self.c[at] -= 1
-        empty = self.size[slot] == 0
-        dish = at[empty]
-        end = self.start[dish] + self.t[dish] - 1
-        self.size[slot[empty]] = self.size[end]
-        self.size[end] = 0
-        self.t[dish] -= 1
-        return empty
-
-    def enter(self, at: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-        """A customer of each dish sits down; new: the weight of a new table.  True where one is opened."""
-        held = np.maximum(self.c[at] - discount * self.t[at], 0)
-        x = rng.random(len(at)) * (new + held) - new
-        opens = (x < 0) | (self.t[at] == 0)
-        dish = at[opens]
-        if (self.t[dish] >= self.cap[dish]).any():
-            self._lay_out((self.size, self.start))
-        self.size[self.start[dish] + self.t[dish]] = 1
-        self.t[dish] += 1
-        self.size[self._find(at[~opens], x[~opens], discount)] += 1
-        self.c[at] += 1
-        return opens
-
-
-def likely_tables(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """About as many tables as customers open who come one by one; where sampling begins."""
-    c = np.maximum(customers, 1)
-    t = 1 + new * np.log((new + c - discount) / (new + 1 - discount))
-    return np.where(customers > 0, np.clip(np.floor(t + rng.random(len(c))), 1, c), 0).astype(np.int64)
+        self.c, self.t = customers, tables
+        self.cap, self.start = tables, np.cumsum(tables) - tables
+
+    @property
+    def size(self) -> np.ndarray:
+        """A seating of so many tables, of which the model needs no more: one large table, all others of one customer."""
+        out = np.ones(int(self.t.sum()), np.int64)
+        out[self.start[self.t > 0]] = (self.c - self.t + 1)[self.t > 0]
+        return out
+
+
+def opening_ratios(customers: int, discount: float) -> np.ndarray:
+    """[c, t]: log of S(c, t + 1) / S(c, t), where S sums the ways in which c customers fill t tables (generalised Stirling numbers)."""
+    s, out = np.full(customers + 2, -np.inf), np.full((customers + 1, customers + 1), -np.inf)
+    s[1] = 0
+    for c in range(1, customers):
+        longer = np.full(customers + 2, -np.inf)
+        longer[1 : c + 1] = s[1 : c + 1] + np.log(c - discount * np.arange(1, c + 1))
+        s = np.logaddexp(longer, np.concatenate([[-np.inf], s[:-1]]))
+        out[c + 1, 1 : c + 1] = s[2 : c + 2] - s[1 : c + 1]
+    return out
+
+
+def _chance_per_table(s: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """(log(1 - exp(-s)), 1 - (1 - exp(-s))**d)"""
+    log_b, far = np.log(-np.expm1(-s)), np.abs(s) >= 1
+    log_b[far] = np.log1p(-np.exp(-s[far]))
+    return log_b, -np.expm1(d * log_b)
+
+
+def log_ways(c: int, t: np.ndarray, d: float) -> np.ndarray:
+    """log(S(c, t) * t! * d**t / c!), where S is as in opening_ratios.
+
+    That is the coefficient of z**c in (1 - (1 - z)**d)**t, an integral over a
+    contour in s = -log z.  It leads through the saddle point (not nearer to zero
+    than 1 / c) and, where that is near the branch cut, bends around it.
+    """
+    s = np.exp(np.linspace(-math.log(c), math.log(40), 600))
+    log_b, g = _chance_per_table(s, d)
+    at = np.exp(np.interp(np.log(t), np.log(c * g) - (math.log(d) + (d - 1) * log_b - s), np.log(s)))
+    log_b, g = _chance_per_table(at, d)
+    e, b = np.exp(-at), np.exp(log_b)
+    first, second = d * b ** (d - 1) * e, d * b ** (d - 2) * e * ((1 - d) * e + b)
+    width = 1 / (at * np.sqrt(np.maximum(t * (second / g - (first / g) ** 2), 1e-300)))
+    bent = at < 0.05
+    end = np.minimum(10 * width, np.where(bent, np.arcsinh(np.minimum(150, math.pi / at)), math.pi / at))
+    u = (np.arange(NODES) + 0.5) / NODES * end[:, None]
+    s = at[:, None] * np.where(bent[:, None], 1 - (np.cosh(u) - 1) / 2 + 1j * np.sinh(u), 1 + 1j * u)
+    step = at[:, None] * np.where(bent[:, None], -np.sinh(u) / 2 + 1j * np.cosh(u), 1j)
+    top = t * np.log(g) + c * at
+    g = _chance_per_table(s, d)[1]
+    return top + np.log((np.exp(t[:, None] * np.log(g) + c * s - top[:, None]) * step).imag.sum(axis=1) * end / (NODES * math.pi))
+
+
+def draw_frequent(c: int, others: float, p: float, d: float, rng: np.random.Generator) -> int:
+    """draw_tables for one dish, however many customers it has."""
+    # the peak of the weights, nearly, from saddle points
+    s = np.exp(np.linspace(math.log(d / c) / (1 - d), math.log(40), 400))
+    log_b, g = _chance_per_table(s, d)
+    t = np.clip(c * g / (d * np.exp((d - 1) * log_b - s)), 1, c)
+    rise = np.log((STRENGTH + d * (others + t)) * p / (d * (t + 1))) + np.log(g)
+    k = min(max(int(np.searchsorted(-rise, 0)), 1), len(t) - 2)
+    spread = math.sqrt(max(t[k + 1] - t[k - 1], 1e-9) / max(rise[k - 1] - rise[k + 1], 1e-9))
+    low, high = max(1, int(t[k] - 9 * spread - 12)), min(c, int(t[k] + 9 * spread + 12))
+    t = np.arange(low, high + 1).astype(np.float64)
+    ways = log_ways(c, t, d) if len(t) <= FITTED else np.polynomial.Chebyshev.interpolate(lambda x: log_ways(c, x, d), FITTED - 1, [low, high])(t)
+    level = ways + np.concatenate([[0.0], np.cumsum(np.log((STRENGTH + d * (others + t[:-1])) * p / (d * (t[:-1] + 1))))])
+    share = np.cumsum(np.exp(level - level.max()))
+    return low + int(np.searchsorted(share, rng.random() * share[-1], "right"))
+
+
+def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, ratios: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Tables of dishes of c customers, from their exact distribution given the tables of the restaurant's other dishes.
+
+    Each number of tables gets its log weight and Gumbel noise, and the largest
+    is taken.  Weights rise to one peak; numbers past it whose weight is below
+    e**-40 of it are not looked at, they are less than a double can tell.
+    """
+    t, at = np.minimum(c, 1), np.flatnonzero((c > 1) & (c < len(ratios)))
+    level, peak, best, k = np.zeros(len(at)), np.zeros(len(at)), -np.log(rng.standard_exponential(len(at))), 1
+    while len(at):
+        level = level + np.log((STRENGTH + discount * (others[at] + k)) * p[at]) + ratios[c[at], k]
+        noisy = level - np.log(rng.standard_exponential(len(at)))
+        k += 1
+        t[at[noisy > best]] = k
+        best, peak = np.maximum(best, noisy), np.maximum(peak, level)
+        go = (c[at] > k) & (level > peak - 40)
+        at, level, peak, best = at[go], level[go], peak[go], best[go]
+    for i in np.flatnonzero(c >= max(len(ratios), 2)).tolist():
+        t[i] = draw_frequent(int(c[i]), float(others[i]), float(p[i]), discount, rng)
+    return t
 
 
 class Bucket:
@@ -252,19 +320,20 @@ class Bucket:
     def __init__(self, asked: pa.Table, grid: Grid):
         asked = asked.sort_by("part")
         cell = {n: asked[n].to_pylist() for n in asked.column_names}
-        words, contexts = _numbers(cell["words"], np.uint64), _numbers(cell["contexts"], np.uint64)
+        words, contexts = _ordered(cell["words"]), _ordered(cell["contexts"])
         per = _numbers(cell["per_word"], "<u4")
         self.words, word_at = np.unique(np.concatenate(words), return_inverse=True)
         self.contexts, context_at = np.unique(np.concatenate(contexts), return_inverse=True)
         at, ends = [], np.cumsum([len(x) for x in contexts])
-        for raw, x, own, end in zip(cell["at"], contexts, per, ends.tolist(), strict=True):
-            at.append(context_at[end - len(x) : end][np.frombuffer(raw, "<u2" if 2 * int(own.sum()) == len(raw) else "<u4")])
+        for blob, x, end in zip(cell["at"], contexts, ends.tolist(), strict=True):
+            at.append(context_at[end - len(x) : end][_number(blob, "<u2" if len(x) < 65536 else "<u4")])
         code = np.repeat(word_at, np.concatenate(per)) * len(self.contexts) + np.concatenate(at)
         codes, self.where = np.unique(code, return_inverse=True)
-        self.parts, self.sizes = cell["part"], [len(x) // 4 for x in cell["counts"]]
+        counts = _numbers(cell["counts"], "<u4")
+        self.parts, self.sizes = cell["part"], [len(x) for x in counts]
         self.word_at, self.word_sizes = word_at, [len(x) for x in words]
         self.w, self.v = codes // len(self.contexts), codes % len(self.contexts)
-        self.c = _sum(self.where, np.concatenate(_numbers(cell["counts"], "<u4")), len(codes)).astype(np.int64)
+        self.c = _sum(self.where, np.concatenate(counts), len(codes)).astype(np.int64)
         self.t = np.minimum(self.c, 1)
         self.seen = _sum(self.w, self.c, len(self.words))
         self.known = self.seen  # with what other buckets have of the word
@@ -308,49 +377,33 @@ class Bucket:
         held = np.maximum(self.root_c + self.far_c - self.root_d * (self.root_t + self.far_t), 0)
         return (held + (STRENGTH + self.root_d * self.all_t) / (self.types + 1)) / (STRENGTH + self.all_c)
 
-    def new_at_root(self, at: np.ndarray) -> np.ndarray:
-        return np.full(len(at), (STRENGTH + self.root_d * self.all_t) / (self.types + 1))
-
     def seat(self, rng: np.random.Generator) -> None:
-        """First tables of all dishes, and of the root's."""
-        new = (STRENGTH + self.d * self.tables[self.v]) * self.root()[self.w]
-        t = likely_tables(self.c, new, self.d, rng)
-        self.tables += _sum(self.v, t - self.t, len(self.contexts))
-        self.t, self.many = t, np.flatnonzero(self.c > 1)
-        self.seats = Tables(self.c[self.many], t[self.many])
-        before_c, before_t = self.root_c, self.root_t
-        self.root_c = _sum(self.w, t, len(self.words)).astype(np.int64)
-        self.root_t = likely_tables(self.root_c, self.new_at_root(self.root_c), self.root_d, rng)
-        self.root_seats = Tables(self.root_c, self.root_t)
-        self.all_c += float((self.root_c - before_c).sum())
-        self.all_t += float((self.root_t - before_t).sum())
+        """The first tables of all dishes, and of the root's."""
+        self.many = np.flatnonzero(self.c > WHOLE)
+        self.sweep(rng)
 
     def sweep(self, rng: np.random.Generator) -> None:
-        p, w, v = self.root(), self.w[self.many], self.v[self.many]
-        every, n = np.arange(len(self.many)), len(self.contexts)
-        for _ in range(MOVES):
-            gone = self.seats.leave(every, rng)
-            self.tables -= np.bincount(v[gone], minlength=n)
-            opened = self.seats.enter(every, (STRENGTH + self.d * self.tables[v]) * p[w], self.d, rng)
-            self.tables += np.bincount(v[opened], minlength=n)
-        self.t[self.many] = self.seats.t
+        """All customers get up and sit down again, dish by dish."""
+        p, n = self.root(), len(self.contexts)
+        some = np.flatnonzero(self.c > 1)
+        ratios = opening_ratios(min(int(self.c.max(initial=1)), WHOLE), self.d)
+        group = rng.integers(0, GROUPS, len(some))
+        for at in [some[group == g] for g in range(GROUPS)]:
+            v = self.v[at]
+            t = draw_tables(self.c[at], self.tables[v] - self.t[at], p[self.w[at]], self.d, ratios, rng)
+            self.tables += _sum(v, t - self.t[at], n)
+            self.t[at] = t
+        self.seats = Tables(self.c[self.many], self.t[self.many])
         # a table more or less is a customer more or less at the root
-        self._to_root(_sum(self.w, self.t, len(self.words)).astype(np.int64) - self.root_c, rng)
-        for _ in range(MOVES):
-            at = np.flatnonzero(self.root_seats.c > 1)
-            self.root_seats.leave(at, rng)
-            self.root_seats.enter(at, self.new_at_root(at), self.root_d, rng)
-        self.all_c += float((self.root_seats.c - self.root_c).sum())
-        self.all_t += float((self.root_seats.t - self.root_t).sum())
-        self.root_c, self.root_t = self.root_seats.c.copy(), self.root_seats.t.copy()
-
-    def _to_root(self, change: np.ndarray, rng: np.random.Generator) -> None:
-        while (change != 0).any():
-            more, less = np.flatnonzero(change > 0), np.flatnonzero(change < 0)
-            self.root_seats.enter(more, self.new_at_root(more), self.root_d, rng)
-            self.root_seats.leave(less, rng)
-            change[more] -= 1
-            change[less] += 1
+        before, self.root_c = self.root_c, _sum(self.w, self.t, len(self.words)).astype(np.int64)
+        self.all_c += float((self.root_c - before).sum())
+        some = np.flatnonzero(self.root_c > 0)
+        ratios = opening_ratios(min(int(self.root_c.max(initial=1)), WHOLE), self.root_d)
+        group = rng.integers(0, GROUPS, len(some))
+        for at in [some[group == g] for g in range(GROUPS)]:
+            t = draw_tables(self.root_c[at], self.all_t - self.root_t[at], np.full(len(at), 1 / (self.types + 1)), self.root_d, ratios, rng)
+            self.all_t += float((t - self.root_t[at]).sum())
+            self.root_t[at] = t
 
     def predictive(self) -> np.ndarray:
         """The model's probability of each pair's word after its context."""
@@ -378,7 +431,7 @@ def tell(grid: Grid, sweeps: int):  # noqa: ANN201
         cut = np.flatnonzero(np.concatenate([[True], b.home[1:] != b.home[:-1]])) if len(b.home) else np.zeros(0, np.int64)
         for i, (a, z) in enumerate(zip(cut.tolist(), np.append(cut[1:], len(b.home)).tolist(), strict=True)):
             # words once: homes know them when the second totals come
-            rows.append((int(b.home[a]), key[0].as_py(), None if turn else b.wanted[a:z].tobytes(), np.ascontiguousarray(totals[:, a:z]).tobytes(), None if i else sums, None if i else known))
+            rows.append((int(b.home[a]), key[0].as_py(), None if turn else ascending(b.wanted[a:z]), squeezed(totals[:, a:z]), None if i else sums, None if i else known))
         return _rows(rows, TOLD)
 
     return say
@@ -389,14 +442,14 @@ def add_up(turn: int):  # noqa: ANN201
 
     def reply(key: tuple, told: pa.Table, later: pa.Table) -> pa.Table:
         told = told.sort_by("bucket")
-        buckets, words = told["bucket"].to_pylist(), _numbers(told["words"].to_pylist(), np.uint64)
+        buckets, words = told["bucket"].to_pylist(), _ordered(told["words"].to_pylist())
         new = dict(zip(later["bucket"].to_pylist(), later["totals"].to_pylist(), strict=True)) if turn else {}
         raw = [new[b] for b in buckets] if turn else told["totals"].to_pylist()
         values = np.concatenate([x.reshape(5, -1) for x in _numbers(raw, "<u4")], axis=1)
         distinct, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.stack([_sum(at, row, len(distinct)) for row in values])[:, at].astype("<u4")
         ends = np.cumsum([len(x) for x in words])
-        return _rows([(b, key[0].as_py(), turn, np.ascontiguousarray(total[:, e - len(x) : e]).tobytes()) for b, x, e in zip(buckets, words, ends.tolist(), strict=True)], REPLY)
+        return _rows([(b, key[0].as_py(), turn, squeezed(total[:, e - len(x) : e])) for b, x, e in zip(buckets, words, ends.tolist(), strict=True)], REPLY)
 
     return reply
 
@@ -408,7 +461,7 @@ def _play(b: Bucket, replies: pa.Table, sweeps: int, number: int) -> tuple[int,
     heard, mean = sorted(set(turns)), None
     for turn in heard:
         own = [i for i, t in enumerate(turns) if t == turn]
-        b.learn(np.concatenate([np.frombuffer(raw[i], "<u4").reshape(5, -1) for i in own], axis=1), sums[own[0]])
+        b.learn(np.concatenate([_number(raw[i], "<u4").reshape(5, -1) for i in own], axis=1), sums[own[0]])
         if turn == 0:
             b.seat(np.random.default_rng([number, 99]))
         mean = np.zeros(len(b.c))
@@ -419,6 +472,8 @@ def _play(b: Bucket, replies: pa.Table, sweeps: int, number: int) -> tuple[int,
     return len(heard), mean
 
 
+#: Log10 probabilities are sent in whole steps, about as fine as those of 4-byte floats.
+LOG_STEP = 2.0**-20
 ANSWER = "part int, bucket int, log_p binary, counts binary, tokens double, types double"
 
 
@@ -429,9 +484,9 @@ def answer(grid: Grid, sweeps: int):  # noqa: ANN201
         b = Bucket(asked, grid)
         sums = replies["sums"][0].as_py()
         mean = _play(b, replies, sweeps, key[0].as_py())[1]
-        log_p, known = np.log10(mean)[b.where].astype("<f4"), b.known[b.word_at].astype("<u4")
+        log_p, known = np.rint(-np.log10(mean) / LOG_STEP).astype("<u4")[b.where], b.known[b.word_at].astype("<u4")
         ends, word_ends = np.cumsum(b.sizes).tolist(), np.cumsum(b.word_sizes).tolist()
-        return _rows([(p, key[0].as_py(), log_p[e - k : e].tobytes(), known[f - m : f].tobytes(), sums[0], sums[1] + sums[8]) for p, e, k, f, m in zip(b.parts, ends, b.sizes, word_ends, b.word_sizes, strict=True)], ANSWER)
+        return _rows([(p, key[0].as_py(), squeezed(log_p[e - k : e]), squeezed(known[f - m : f]), sums[0], sums[1] + sums[8]) for p, e, k, f, m in zip(b.parts, ends, b.sizes, word_ends, b.word_sizes, strict=True)], ANSWER)
 
     return give
 
@@ -443,7 +498,7 @@ def add_scores(grid: Grid):  # noqa: ANN201
     def score(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
         told = told.sort_by("bucket")
         p = Part(docs["doc_id"].to_pylist(), _one(docs["text"]), grid)
-        log_p = np.concatenate(_numbers(told["log_p"].to_pylist(), "<f4")).astype(np.float64)
+        log_p = np.concatenate(_numbers(told["log_p"].to_pylist(), "<u4")) * -LOG_STEP
         counts = np.concatenate(_numbers(told["counts"].to_pylist(), "<u4")).astype(np.float64)
         runs = p.runs()
         counts = np.repeat(counts, np.diff(np.append(runs, len(p.word))))[p.pair]
@@ -482,8 +537,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = total_bytes(docs)
     parts, buckets = max(1, math.ceil(size / part_bytes)), max(1, math.ceil(size / bucket_bytes))
     grid = Grid(buckets, frequent_words(docs, size, buckets) if buckets > 1 else {})
-    dealt = docs.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")).repartition(parts, "part")
-    asked = dealt.groupBy("part").applyInArrow(ask(grid), ASK)
+    packed = docs.mapInArrow(pack_texts, "docs binary")
+    dealt = packed.withColumn("part", F.pmod(F.xxhash64("docs"), F.lit(parts)).cast("int")).repartition(parts, "part")
+    pack, score = ask(grid), add_scores(grid)
+    asked = dealt.groupBy("part").applyInArrow(lambda key, texts: pack(key, unpack_texts(texts)), ASK)
     asked = asked.repartition(buckets, "bucket")
     with_sums = lambda replies, told: replies.crossJoin(F.broadcast(_all_sums(told)))  # noqa: E731  # one row
     spark = docs.sparkSession
@@ -495,7 +552,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     again = with_sums(told.groupBy("home").cogroup(later.groupBy("home")).applyInArrow(add_up(1), REPLY), later)
     both = replies.unionByName(again)
     told_parts = asked.groupBy("bucket").cogroup(both.groupBy("bucket")).applyInArrow(answer(grid, sweeps), ANSWER)
-    return dealt.groupBy("part").cogroup(told_parts.groupBy("part")).applyInArrow(add_scores(grid), RESULT)
+    return dealt.groupBy("part").cogroup(told_parts.groupBy("part")).applyInArrow(lambda key, texts, told: score(key, unpack_texts(texts), told), RESULT)
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

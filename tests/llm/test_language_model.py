@@ -178,3 +178,72 @@ def test_empty_table(spark):
     assert lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = lm.score_documents(spark.createDataFrame([(None, "a b"), (7, None), (7, None)], "doc_id long, text string")).collect()
     assert sorted(r.n_tokens for r in one) == [1, 1, 3]
+
+
+def mean_tables(c, others, p, d):
+    """Mean number of tables of c customers, summed over all ways to sit down one after another."""
+    ways = np.full(c + 2, -np.inf)
+    ways[1] = 0
+    t = np.arange(c + 2)
+    opening = np.log((lm.STRENGTH + d * (others + t)) * p)
+    for k in range(1, c):
+        stay = ways + np.log(np.maximum(k - d * t, 1e-300))
+        ways = np.logaddexp(stay, np.concatenate([[-np.inf], (ways + opening)[:-1]]))
+    share = np.exp(ways - ways.max())
+    return (share * t).sum() / share.sum()
+
+
+@pytest.mark.parametrize("whole", [2000, 512, 50])
+def test_all_customers_of_a_frequent_dish_move(monkeypatch, whole):
+    """Tables of a pair seen 900 times, after the first sweeps and later, have the mean that their exact distribution has."""
+    monkeypatch.setattr(lm, "WHOLE", whole, raising=False)
+    after, before = " ".join(f"a x{k}" for k in range(60)), " ".join(f"r{k} b" for k in range(400))
+    docs = pa.table({"doc_id": pa.array([0, 3, 4], pa.int64()), "text": ["a b " * 900, after, before]})
+    assert not any(map(lm.held_out, (0, 3, 4)))
+    early, later, exact = [], [], []
+    for seed in range(6):
+        grid = lm.Grid(1, {})
+        b = lm.Bucket(lm.ask(grid)((pa.scalar(0),), docs), grid)
+        b.learn(b.tell(), [*b.sums(), 0.0])
+        b.seat(np.random.default_rng([seed, 99]))
+        at = [i for i in np.flatnonzero(b.c > 800) if b.contexts[b.v[i]] == lm._hash(b"a")][0]
+        for k in range(8):
+            b.sweep(np.random.default_rng([seed, k]))
+            (early if k < 3 else later).append(b.t[at])
+            exact.append(mean_tables(int(b.c[at]), b.tables[b.v[at]] - b.t[at], b.root()[b.w[at]], b.d))
+    assert np.mean(early) == pytest.approx(np.mean(exact), rel=0.2)
+    assert np.mean(later) == pytest.approx(np.mean(exact), rel=0.2)
+
+
+@pytest.mark.parametrize(("c", "p"), [(2, 0.3), (9, 0.02), (300, 0.2)])
+def test_tables_are_drawn_from_their_exact_distribution(c, p):
+    n, d, others = 4000, 0.7, 30.0
+    drawn = lm.draw_tables(np.full(n, c), np.full(n, others), np.full(n, p), d, lm.opening_ratios(c, d), np.random.default_rng(1))
+    assert drawn.mean() == pytest.approx(mean_tables(c, others, p, d), rel=0.02)
+
+
+@pytest.mark.parametrize(("c", "p", "d"), [(600, 0.001, 0.7), (600, 0.2, 0.7), (600, 0.9, 0.95), (3000, 0.5, 0.3)])
+def test_tables_of_a_frequent_dish_are_drawn_from_their_exact_distribution(c, p, d):
+    rng = np.random.default_rng(2)
+    assert np.mean([lm.draw_frequent(c, 30.0, p, d, rng) for _ in range(1500)]) == pytest.approx(mean_tables(c, 30.0, p, d), rel=0.02)
+
+
+@pytest.mark.parametrize("d", [0.05, 0.5, 0.83, 0.95])
+@pytest.mark.parametrize("c", [513, 1500])
+def test_contour_integrals_equal_the_recursion(c, d):
+    ways, t = np.full(c + 2, -np.inf), np.arange(c + 2)
+    ways[1] = 0
+    for k in range(1, c):
+        ways = np.logaddexp(ways + np.log(np.maximum(k - d * t, 1e-300)), np.concatenate([[-np.inf], ways[:-1]]))
+    t = t[1 : c : max(1, c // 200)]
+    got = math.lgamma(c + 1) - np.array([math.lgamma(x + 1) for x in t]) - t * math.log(d) + lm.log_ways(c, t.astype(float), d)
+    assert np.abs(got - ways[t]).max() < 1e-3
+
+
+def test_numbers_come_back_as_they_were_packed():
+    for kind in ("<u2", "<u4", np.uint64):
+        for n in (0, 1, 1000):
+            x = np.random.default_rng(n).integers(0, np.iinfo(kind).max, n, kind, endpoint=True)
+            assert (lm._number(lm.squeezed(x), kind) == x).all()
+    x = np.sort(np.random.default_rng(0).integers(0, 2**64 - 1, 999, np.uint64, endpoint=True))
+    assert (lm._ordered([lm.ascending(x)])[0] == x).all() and len(lm.ascending(x)) < 7.2 * len(x)
