@@ -101,3 +101,26 @@ def test_neighbours_in_key_order():
     for cut in (1, 2, 3, 5, 9):
         batches = [whole.slice(i, cut) for i in range(0, 9, cut)]
         assert [k for b in suffixes.shared_keys(iter(batches)) for k in b.column("key").to_pylist()] == [2, 2, 4, 4, 4, 6]
+
+
+def test_no_task_gets_a_large_group_of_copies(spark):
+    """3,000 copies of a text, some of them twice under one id: marks as counted by hand, and no task reads most of the group."""
+    ids = [*range(10, 3010), *range(10, 60)]
+    df = spark.createDataFrame([*[(i, "a" * 500) for i in ids], (1, "b" * 500), (2, None), (None, "a" * 500), (3, "c"), (3, "d")], "doc_id long, text string").repartition(4)
+    sc = spark.sparkContext
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    sc.setJobGroup("copies", "")
+    try:
+        got = Counter((r.doc_id, r.twin, r.copy) for r in suffixes.twins(df).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == Counter((i, True, True if i > 10 else None) for i in set(ids))
+    most = sc._gateway.new_array(sc._jvm.double, 1)
+    most[0] = 1.0
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup("copies") for s in sc.statusTracker().getJobInfo(j).stageIds}
+    summaries = [sc._jsc.sc().statusStore().taskSummary(s, 0, most) for s in stages]
+    read = [x.get().shuffleReadMetrics().readRecords().head() for x in summaries if x.isDefined()]
+    assert 0 < max(read) < 1500, read
